@@ -197,14 +197,18 @@ class KnnImputer:
     def _names(self) -> list[str]:
         return [f"v{i}" for i in range(len(self.columns))]
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def transform(self, df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+        """``source``: an earlier form of ``df`` with the same values in these columns, cheaper to scan."""
         names, p = self._names(), len(self.columns)
         values = {n: number(df, c) for c, n in zip(self.columns, names)}
         complete = F.lit(True)
         for v in values.values():
             complete = complete & v.isNotNull()
         gaps = df.filter(~complete)
-        asked = cut_lineage(gaps.select(*[v.alias(n) for n, v in values.items()]).distinct()
+        scan = df if source is None else source
+        tuples = scan.select(*[number(scan, c).alias(n) for c, n in zip(self.columns, names)])
+        asked = cut_lineage(tuples.filter(F.greatest(*[F.col(n).isNull() for n in names])
+                                          if p > 1 else F.col(names[0]).isNull()).distinct()
                             .withColumn("gap", _pattern(names)))
         patterns = sorted(r["gap"] for r in asked.select("gap").distinct().collect())
         answers = self._search(asked, patterns, names) if patterns else None

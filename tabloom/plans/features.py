@@ -115,21 +115,18 @@ class FeatureModel:
     rows_train: int = 0
     schema: list[dict] = field(default_factory=list)
 
-    def _fill(self, df: DataFrame) -> DataFrame:
-        cfg = self.config
-        out = core_features(df, cfg, self.levels)
-        if cfg.age in out.columns:
-            out = out.withColumn(cfg.age, driver_age(number(out, cfg.age)))
-        out = self.draws.transform(out)
-        return out.withColumns(rain_features(q(cfg.rain)))
-
     def transform(self, df: DataFrame, aligned: bool = True) -> DataFrame:
-        out = self._fill(df)
+        cfg = self.config
+        core = core_features(df, cfg, self.levels)
+        if cfg.age in core.columns:
+            core = core.withColumn(cfg.age, driver_age(number(core, cfg.age)))
+        out = self.draws.transform(core)
+        out = out.withColumns(rain_features(q(cfg.rain)))
         if self.knn and all(c in out.columns for c in self.knn.columns):
-            out = self.knn.transform(out)
+            out = self.knn.transform(out, source=core if not set(self.knn.columns) & set(cfg.draw) else None)
         if self.chained and all(c in out.columns for c in self.chained.columns):
             out = self.chained.transform(out)
-        out = out.drop(*[c for c in self.config.drop if c not in self.config.keys])
+        out = out.drop(*[c for c in cfg.drop if c not in cfg.keys])
         return enforce_schema(out, self.schema) if aligned else out
 
     def save(self, spark: SparkSession, folder: str) -> None:
