@@ -68,9 +68,10 @@ HIGHWAY_NAMES = ["BQE", "BROOKLYN QUEENS EXPY", "LIE", "LONG ISLAND EXPY", "GCP"
 ZERO_WIDTH = "[\\u200B-\\u200D\\u2060\\uFEFF]"
 CONTROL = "[\\x00-\\x1F\\x7F]"
 ZERO_TIME = r"^(?:0{1,2}:?0{1,2}(?::?0{1,2})?|0+)$"
-# Formats accepted after cleaning, tried in this order.
-DATE_FORMATS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss",
-                "yyyy/MM/dd", "MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm", "MM/dd/yyyy"]
+# Date forms accepted after cleaning; an ISO date may have a time with up to nine decimals.
+SLASH_YEAR_FIRST = r"^(\d{4})/(\d{1,2})/(\d{1,2})(?=$|[ T])"
+SLASH_YEAR_LAST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?=$|[ T])"
+ISO_START = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)?$"
 
 
 def strip(c: Column) -> Column:
@@ -178,12 +179,14 @@ def clean_date_text(c: Column, fold_unicode: bool = True) -> Column:
     return F.when(~text.rlike(ZERO_TIME) & (text != ""), text)
 
 
-def parse_date_text(c: Column, formats: Sequence[str] = tuple(DATE_FORMATS)) -> Column:
-    """Timestamp without zone from mixed text; unreadable text becomes null."""
-    iso = F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}([ T].*)?$"), F.regexp_replace(c, r"(\.\d{6})\d+", "$1"))
-    tries = [iso.try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*tries)
+def parse_date_text(c: Column) -> Column:
+    """Timestamp without zone from ISO, year/month/day or month/day/year text; other text is null.
+
+    The slash forms are rewritten to ISO, so there is one cast however many forms are read.
+    """
+    text = F.regexp_replace(c, SLASH_YEAR_FIRST, "$1-$2-$3")
+    text = F.regexp_replace(text, SLASH_YEAR_LAST, "$3-$1-$2")
+    return F.regexp_extract(text, ISO_START, 0).try_cast("timestamp_ntz")
 
 
 def date_parts(ts: Column, prefix: str = "Event_", weekend: Sequence[int] = (4, 5),

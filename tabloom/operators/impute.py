@@ -16,7 +16,7 @@ from tabloom.functions.numbers import key_hash, number
 from tabloom.operators.columns import q
 from tabloom.operators.neighbors import nearest
 from tabloom.operators.ranks import ROWS_PER_BUCKET, exact_quantiles, group_quantiles, value_ranks
-from tabloom.session import BROADCAST_ROWS, cut_lineage, fits
+from tabloom.session import BROADCAST_ROWS, cut_lineage, fits, small_table
 
 POOL_WIDTH = 1_000_000
 DRAWS_PER_TASK = 1_000_000
@@ -311,6 +311,8 @@ class ChainedImputer:
 
     def fit(self, train: DataFrame) -> ChainedImputer:
         p = len(self.columns)
+        if p > 12:
+            raise ValueError("one model per pattern of gaps: chain at most 12 columns")
         names = [f"v{i}" for i in range(p)]
         narrow = train.select(*[number(train, c).alias(n) for c, n in zip(self.columns, names)])
         med = exact_quantiles(narrow, names, [0.5])
@@ -346,14 +348,10 @@ class ChainedImputer:
                 shift = centre[j] + intercept - float(coef @ centre)
                 self.steps.append((j, coef.tolist(), float(shift)))
             self.rounds += 1
-            change = None
-            for g in maps:
-                if g:
-                    delta = maps[g] - before[g]
-                    moved = F.greatest(F.lit(0.0), *[F.abs(_affine(delta[j], z)) for j in range(p) if g >> j & 1])
-                    change = (F.when(F.col("gap") == g, moved) if change is None
-                              else change.when(F.col("gap") == g, moved))
-            if holes.agg(F.max(change)).first()[0] < self.tolerance * size:
+            moves = [(g, (maps[g] - before[g])[j].tolist()) for g in maps if g for j in range(p) if g >> j & 1]
+            table = small_table(train.sparkSession, moves, "gap int, a array<double>")
+            moved = holes.join(F.broadcast(table), "gap").agg(F.max(F.abs(_affine("a", z)))).first()[0]
+            if moved < self.tolerance * size:
                 break
         return self
 
@@ -366,14 +364,14 @@ class ChainedImputer:
         gap = F.lit(0)
         for i, v in enumerate(values):
             gap = gap + F.when(v.isNull(), F.lit(1 << i)).otherwise(F.lit(0))
-        filled = {}
-        for j, c in enumerate(self.columns):
-            chain = F.when(values[j].isNotNull(), values[j])
-            for g, m in maps.items():
-                if g >> j & 1:
-                    chain = chain.when(F.col("_gap") == g, _affine(m[j], [F.coalesce(v, F.lit(0.0)) for v in values]))
-            filled[c] = chain
-        return df.withColumn("_gap", gap).withColumns(filled).drop("_gap")
+        # One row of coefficients per pattern: 2^p - 1 rows, so a broadcast of known size.
+        table = small_table(df.sparkSession, [(g, *[m[j].tolist() if g >> j & 1 else None for j in range(p)])
+                                              for g, m in maps.items()],
+                            "_gap int, " + ", ".join(f"_a{j} array<double>" for j in range(p)))
+        z = [F.coalesce(v, F.lit(0.0)) for v in values]
+        joined = df.withColumn("_gap", gap).join(F.broadcast(table), "_gap", "left")
+        return joined.withColumns({c: F.coalesce(values[j], _affine(f"_a{j}", z)) for j, c in enumerate(self.columns)}
+                                  ).select(*[q(c) for c in df.columns])
 
 
 def _start(gap: int, p: int, fill: np.ndarray) -> np.ndarray:
@@ -398,11 +396,11 @@ def _advance(maps: dict, j: int, coef: np.ndarray, intercept: float) -> None:
             m[j] = row
 
 
-def _affine(row: np.ndarray, z: Sequence[Column]) -> Column:
-    total = F.lit(float(row[-1]))
-    for a, c in zip(row[:-1], z):
-        if a != 0.0:
-            total = total + F.lit(float(a)) * c
+def _affine(coefficients: str, z: Sequence[Column]) -> Column:
+    """Dot product with an array column whose last element is the constant."""
+    total = F.col(coefficients)[len(z)]
+    for i, c in enumerate(z):
+        total = total + F.col(coefficients)[i] * c
     return total
 
 

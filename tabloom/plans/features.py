@@ -55,13 +55,16 @@ class FeatureConfig:
 
 
 def core_features(df: DataFrame, cfg: FeatureConfig, levels: dict) -> DataFrame:
-    """Time parts, distance and rain features, ordered codes: three projections, no shuffle."""
-    stamps = {}
-    for name in (cfg.start, cfg.end):
-        stamps[f"{name}_parsed"] = (tx.parse_date_text(tx.clean_date_text(q(name).cast("string")))
-                                    if name in df.columns else F.lit(None).cast("timestamp_ntz"))
-    out = df.withColumns(stamps).withColumn(
-        "Event_TS", F.coalesce(q(f"{cfg.start}_parsed"), q(f"{cfg.end}_parsed")))
+    """Time parts, distance and rain features, ordered codes: a few projections, no shuffle.
+
+    Each projection builds on named columns of the one before, which keeps long
+    expressions such as the date cleaning from being repeated in the generated code.
+    """
+    present = [name for name in (cfg.start, cfg.end) if name in df.columns]
+    out = df.withColumns({f"{name}_parsed": tx.clean_date_text(q(name).cast("string")) for name in present})
+    out = out.withColumns({f"{name}_parsed": tx.parse_date_text(q(f"{name}_parsed")) if name in present
+                           else F.lit(None).cast("timestamp_ntz") for name in (cfg.start, cfg.end)})
+    out = out.withColumn("Event_TS", F.coalesce(q(f"{cfg.start}_parsed"), q(f"{cfg.end}_parsed")))
     distance = clip_low(number(df, cfg.distance)) if cfg.distance in df.columns else F.lit(None).cast("double")
     rain = (clip_low(number(df, cfg.rain)) if cfg.rain in df.columns else F.lit(0.0)).cast("float")
     out = out.withColumns({
