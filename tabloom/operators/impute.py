@@ -121,7 +121,8 @@ class GroupDrawImputer:
         wide = F.xxhash64(*[f"_k{i}" for i in range(len(self.keys))], "feature", F.lit(self.seed))
         asks = asks.withColumn("pos", F.when(F.col("size") <= 1 << 32, F.pmod(F.col("h"), F.col("size")))
                                .otherwise(F.pmod(wide, F.col("size"))))
-        asks = asks.withColumn("slice", F.floor(F.col("pos") / width).cast("bigint"))
+        # Narrow rows, one per gap; stored, because the load check and the walk both read them.
+        asks = cut_lineage(asks.withColumn("slice", F.floor(F.col("pos") / width).cast("bigint")))
         pool_id = ["overall", *by, "feature"]
         # Salts: a slice with more draws than one task should take is copied that many times.
         load = asks.groupBy(*pool_id, "slice").agg(F.count("*").alias("asked"))
@@ -217,7 +218,8 @@ class KnnImputer:
         match = F.lit(True)
         for n in names:
             match = match & values[n].eqNullSafe(F.col(f"_a_{n}"))
-        answers = answers.select(*[F.col(n).alias(f"_a_{n}") for n in names], *[f"f{i}" for i in range(p)])
+        # One row per distinct gap tuple; stored, so that the search runs once.
+        answers = cut_lineage(answers.select(*[F.col(n).alias(f"_a_{n}") for n in names], *[f"f{i}" for i in range(p)]))
         if fits(answers, self.max_broadcast):
             answers = F.broadcast(answers)
         joined = gaps.join(answers, match, "left")

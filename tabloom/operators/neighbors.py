@@ -20,7 +20,10 @@ from tabloom.operators.joins import keep_first
 from tabloom.session import BROADCAST_ROWS, cut_lineage, fits
 
 LEAF_POINTS = 32
-MAX_BITS = 12
+# Code length per dimension; the first bits are quantiles, the rest equal steps inside them.
+MAX_BITS, QUANTILE_BITS = 24, 10
+# Levels at which boxes are listed, in bits per dimension.
+LEVELS = [1, 2, 3, 4, 6, 8, 10, 12, 16, 20]
 # Rounding slack of a pruning comparison; only ever keeps a box too many.
 SLACK = 1e-9
 DEGREE_KM = 111.0
@@ -41,42 +44,31 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], order: S
     ``group`` must have few values (one box table row per group and first-level box).
     """
     dims, order = list(dims), list(order)
+    d = len(dims)
     g = q(group) if group else F.lit(0)
     w = q(weight) if weight else F.lit(1).cast("bigint")
     r = q(radius) if radius else F.lit(None).cast("double")
-    qs = queries.select(g.alias("_g"), *[q(d).cast("double").alias(f"x{i}") for i, d in enumerate(dims)], r.alias("_r"))
-    pts = points.select(g.alias("_g"), *[q(d).cast("double").alias(f"y{i}") for i, d in enumerate(dims)],
+    qs = queries.select(g.alias("_g"), *[q(c).cast("double").alias(f"x{i}") for i, c in enumerate(dims)], r.alias("_r"))
+    pts = points.select(g.alias("_g"), *[q(c).cast("double").alias(f"y{i}") for i, c in enumerate(dims)],
                         w.alias("_w"), F.struct(*[q(o) for o in order]).alias("_o"))
-    d = len(dims)
-    pts, bits = _with_codes(pts, d, leaf_points, split_source.select(
-        *[q(c).cast("double").alias(f"y{i}") for i, c in enumerate(dims)]) if split_source is not None else None)
-    step = 2 if d <= 2 else 1
-    levels = list(range(step, bits, step)) + [bits]
+    if k > 1:
+        # Of points at one place only the first k can be taken; Spark limits them before the shuffle.
+        same = Window.partitionBy("_g", *[f"y{i}" for i in range(d)]).orderBy("_o")
+        pts = pts.withColumn("_rn", F.row_number().over(same)).filter(F.col("_rn") <= k).drop("_rn")
+    source = pts if split_source is None else split_source.select(
+        *[q(c).cast("double").alias(f"y{i}") for i, c in enumerate(dims)])
+    tree = _BoxTree(pts, source, d, leaf_points, max_broadcast)
     ident = ["_g", *[f"x{i}" for i in range(d)], "_r"]
-    codes = [f"c{i}" for i in range(d)]
-    leaves = cut_lineage(_boxes(pts, ["_g"], d, [F.col(f"c{i}") for i in range(d)]))
-
-    candidates, above = None, 0
-    for level in levels:
-        shift = bits - level
-        boxes = _boxes(leaves, ["_g"], d, [F.shiftright(f"c{i}", shift) for i in range(d)], leaf=False)
-        if candidates is None:
-            # At most 2^(step x d) rows per group, so this side is small by construction.
+    candidates = None
+    for above, level in zip([None, *tree.levels], tree.levels):
+        boxes = tree.boxes(above, level)
+        if above is None:
+            # At most 2^(level x d) rows per group, so this side is small by construction.
             candidates = qs.join(F.broadcast(boxes), "_g")
         else:
-            up = level - above
-            children = boxes.select("_g", *[F.shiftright(c, up).alias(f"p{i}") for i, c in enumerate(codes)],
-                                    *[x for x in boxes.columns if x != "_g"])
-            if fits(children, max_broadcast):
-                children = F.broadcast(children)
-            parents = candidates.select(*ident, *[F.col(c).alias(f"p{i}") for i, c in enumerate(codes)])
-            candidates = parents.join(children, ["_g", *[f"p{i}" for i in range(d)]])
-        candidates = _prune(candidates, ident, codes, d, k)
-        above = level
-
-    if fits(pts, max_broadcast):
-        pts = F.broadcast(pts)
-    pairs = candidates.select(*ident, *codes).join(pts, ["_g", *codes])
+            candidates = candidates.select(*ident, *tree.renamed("p")).join(tree.hint(boxes), tree.key("p"))
+        candidates = _prune(candidates, ident, tree.key("c"), d, k)
+    pairs = candidates.select(*ident, *tree.key("c")[1:]).join(tree.points(), tree.key("c"))
     d2 = sum((F.pow(F.col(f"x{i}") - F.col(f"y{i}"), 2) for i in range(d)), F.lit(0.0))
     pairs = pairs.select(*ident, d2.alias("d2"), "_o", "_w", *[f"y{i}" for i in range(d)])
     if radius:
@@ -100,28 +92,100 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], order: S
                          *[F.col(f"y{i}").alias(f"near_{c}") for i, c in enumerate(dims)])
 
 
-def _with_codes(pts: DataFrame, d: int, leaf_points: int, split_source: DataFrame | None) -> tuple[DataFrame, int]:
-    """Points with a box number per dimension, from split values that halve the points."""
-    pts = cut_lineage(pts)
-    n = pts.count()
+class _BoxTree:
+    """Nested boxes over the points. A box is split until it has few points or the codes end.
+
+    Every point has a code per dimension: its quantile bucket, refined by equal steps
+    inside the bucket. A box of level l is all points that share the first l bits of
+    every code. ``cells`` holds the finest boxes with the level at which each one's
+    branch stops, so a box list of any level is one small aggregate.
+    """
+
+    def __init__(self, pts: DataFrame, source: DataFrame, d: int, leaf_points: int, max_broadcast: int):
+        self.d = d
+        pts = cut_lineage(pts)
+        n = pts.count()
+        self.bits = min(MAX_BITS, max(2, math.ceil(math.log2(max(n / leaf_points, 2))) + 2))
+        self.pts = _coded(pts, source, d, self.bits)
+        codes = [f"c{i}" for i in range(d)]
+        full = cut_lineage(self.pts.groupBy("_g", *codes).agg(
+            F.sum("_w").alias("_w"), F.count("*").alias("_n"),
+            *[a for i in range(d) for a in (F.min(f"y{i}").alias(f"lo{i}"), F.max(f"y{i}").alias(f"hi{i}"))]))
+        self.small = full.count() <= max_broadcast
+        self.few_points = n <= max_broadcast
+        levels = [b for b in LEVELS if b < self.bits and (d > 2 or b % 2 == 0)] + [self.bits]
+        cells, stop = full, None
+        for b in levels[:-1]:
+            at = [F.shiftright(c, self.bits - b).alias(f"k{i}") for i, c in enumerate(codes)]
+            sizes = full.groupBy(F.col("_g").alias("_kg"), *at).agg(F.sum("_n").alias(f"_n{b}"))
+            match = F.col("_g") == F.col("_kg")
+            for i, c in enumerate(codes):
+                match = match & (F.shiftright(c, self.bits - b) == F.col(f"k{i}"))
+            cells = cells.join(self.hint(sizes), match).drop("_kg", *[f"k{i}" for i in range(d)])
+            few = F.col(f"_n{b}") <= leaf_points
+            stop = F.when(few, F.lit(b)) if stop is None else stop.when(few, F.lit(b))
+        last = F.lit(self.bits)
+        self.cells = cut_lineage(cells.withColumn("stop", last if stop is None else stop.otherwise(last))
+                                 .select(*full.columns, "stop"))
+        deepest = self.cells.agg(F.max("stop")).first()[0] or levels[0]
+        self.levels = [b for b in levels if b <= deepest]
+
+    def hint(self, df: DataFrame) -> DataFrame:
+        """Box lists are no longer than the list of the finest boxes, whose length is known."""
+        return F.broadcast(df) if self.small else df
+
+    def key(self, prefix: str) -> list[str]:
+        return ["_g", f"{prefix}lvl", *[f"{prefix}{i}" for i in range(self.d)]]
+
+    def renamed(self, prefix: str) -> list[Column]:
+        return [F.col(c).alias(p) for c, p in zip(self.key("c")[1:], self.key(prefix)[1:])]
+
+    def _at(self, level: int, prefix: str) -> list[Column]:
+        """Identity of the box that holds a cell at ``level`` (or where its branch stopped above)."""
+        lvl = F.least(F.col("stop"), F.lit(level))
+        shift = F.lit(self.bits) - lvl
+        return [lvl.alias(f"{prefix}lvl"), *[F.call_function("shiftright", F.col(f"c{i}"), shift).alias(f"{prefix}{i}")
+                                             for i in range(self.d)]]
+
+    def boxes(self, above: int | None, level: int) -> DataFrame:
+        """Boxes of ``level`` with their box of the level above as the join key."""
+        by = self._at(level, "b") + (self._at(above, "p") if above is not None else [])
+        grouped = self.cells.select("_g", "_w", *[f"{e}{i}" for e in ("lo", "hi") for i in range(self.d)], *by)
+        names = self.key("b")[1:] + (self.key("p")[1:] if above is not None else [])
+        out = grouped.groupBy("_g", *names).agg(
+            F.sum("_w").alias("_w"),
+            *[a for i in range(self.d) for a in (F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}"))])
+        return out.withColumnsRenamed(dict(zip(self.key("b")[1:], self.key("c")[1:])))
+
+    def points(self) -> DataFrame:
+        """Points with the identity of their last box."""
+        stops = self.cells.select("_g", *[f"c{i}" for i in range(self.d)], "stop")
+        placed = self.pts.join(self.hint(stops), ["_g", *[f"c{i}" for i in range(self.d)]])
+        out = placed.select("_g", "_w", "_o", *[f"y{i}" for i in range(self.d)], *self._at(self.bits, "b"))
+        out = out.withColumnsRenamed(dict(zip(self.key("b")[1:], self.key("c")[1:])))
+        return F.broadcast(out) if self.few_points else out
+
+
+def _coded(pts: DataFrame, source: DataFrame, d: int, bits: int) -> DataFrame:
     names = [f"y{i}" for i in range(d)]
-    bits = min(MAX_BITS, max(1, math.ceil(math.log2(max(n / leaf_points, 2)) / d)))
-    cells = 1 << bits
-    found = (split_source if split_source is not None else pts).approxQuantile(
-        names, [b / cells for b in range(1, cells)], 0.25 / cells)
+    coarse = min(bits, QUANTILE_BITS)
+    fine = 1 << (bits - coarse)
+    parts = 1 << coarse
+    found = source.approxQuantile(names, [b / parts for b in range(1, parts)], 0.25 / parts)
+    ends = source.agg(*[a for c in names for a in (F.min(c), F.max(c))]).first()
     bounds = [[-math.inf, *(sorted(set(s)) or [0.0]), math.inf] for s in found]
     coded = Bucketizer(splitsArray=bounds, inputCols=names, outputCols=[f"b{i}" for i in range(d)]).transform(pts)
-    return coded.select("*", *[F.col(f"b{i}").cast("int").alias(f"c{i}") for i in range(d)]).drop(
-        *[f"b{i}" for i in range(d)]), bits
-
-
-def _boxes(table: DataFrame, keys: list[str], d: int, codes: list[Column], leaf: bool = True) -> DataFrame:
-    """Point weight and exact limits of every non-empty box."""
-    aggs = [F.sum("_w").alias("_w")]
-    for i in range(d):
-        low, high = (f"y{i}", f"y{i}") if leaf else (f"lo{i}", f"hi{i}")
-        aggs += [F.min(low).alias(f"lo{i}"), F.max(high).alias(f"hi{i}")]
-    return table.groupBy(*keys, *[c.alias(f"c{i}") for i, c in enumerate(codes)]).agg(*aggs)
+    codes = {}
+    for i, c in enumerate(names):
+        bucket = F.col(f"b{i}").cast("int")
+        if fine == 1:
+            codes[f"c{i}"] = bucket
+            continue
+        edges = F.array(*[F.lit(float(e)) for e in [ends[2 * i] or 0.0, *bounds[i][1:-1], ends[2 * i + 1] or 0.0]])
+        low, high = edges[bucket], edges[bucket + 1]
+        step = F.coalesce(F.floor(F.try_divide(F.col(c) - low, high - low) * fine), F.lit(0))
+        codes[f"c{i}"] = (bucket * fine + F.greatest(F.lit(0), F.least(step, F.lit(fine - 1)))).cast("int")
+    return coded.withColumns(codes).drop(*[f"b{i}" for i in range(d)])
 
 
 def _prune(cand: DataFrame, ident: list[str], codes: list[str], d: int, k: int) -> DataFrame:
@@ -141,7 +205,7 @@ def _prune(cand: DataFrame, ident: list[str], codes: list[str], d: int, k: int)
         bound = F.min(F.when(F.col("_upto") >= k, F.col("_far"))).over(whole)
     cand = cand.withColumn("_bound", bound)
     keep = F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") * (1 + SLACK) + 1e-300)
-    return cand.filter(keep).select(*ident, *codes)
+    return cand.filter(keep).select(*ident, *codes[1:])
 
 
 def area_cap(area: Column, caps: Mapping[str, float] = AREA_CAPS_KM, default: float = DEFAULT_CAP_KM) -> Column:
@@ -177,7 +241,7 @@ def nearest_capped(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
     near = hits.select("_y", "_x", "_reach", km.alias(distance),
                        F.col("near__y").alias("_ry"), F.col("near__x").alias("_rx"))
     near = near.join(details, (F.col("_ry") == q(prefix + ry)) & (F.col("_rx") == q(prefix + rx))).drop("_ry", "_rx")
-    near = near.withColumnsRenamed({"_y": "_hy", "_x": "_hx", "_reach": "_hr"})
+    near = cut_lineage(near.withColumnsRenamed({"_y": "_hy", "_x": "_hx", "_reach": "_hr"}))
     if fits(near, max_broadcast):
         near = F.broadcast(near)
     match = ((q(ly).cast("double") == F.col("_hy")) & (q(lx).cast("double") == F.col("_hx"))

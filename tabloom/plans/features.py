@@ -17,7 +17,7 @@ from tabloom.operators.columns import enforce_schema, q, schema_spec
 from tabloom.operators.encode import levels_by_column
 from tabloom.operators.impute import ChainedImputer, GroupDrawImputer, KnnImputer, group_medians
 from tabloom.plans.clean import driver_age
-from tabloom.session import small_table
+from tabloom.session import cut_lineage, small_table
 
 # Bins, labels and level orders.
 DISTANCE_EDGES, DISTANCE_LABELS = [0.0, 0.757, 1.892], ["Short", "Medium", "Long"]
@@ -166,6 +166,9 @@ def fit_features(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
     core = core_features(train, cfg, levels)
     if cfg.age in core.columns:
         core = core.withColumn(cfg.age, driver_age(number(core, cfg.age)))
+    # The fits read these few columns many times; store them once instead of parsing dates anew.
+    needed = [*cfg.draw, *cfg.by, *cfg.knn, *cfg.chained]
+    core = cut_lineage(core.select(*[q(c) for c in dict.fromkeys(needed) if c in core.columns]))
     draws = GroupDrawImputer([c for c in cfg.draw if c in core.columns], cfg.by, cfg.keys, cfg.seed).fit(core)
     medians = group_medians(core, draws.features, cfg.by)
     knn_columns = [c for c in cfg.knn if c in core.columns]
@@ -174,6 +177,6 @@ def fit_features(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
     # unfilled table gives the same fit.
     chain_columns = [c for c in cfg.chained if c in core.columns]
     chained = ChainedImputer(chain_columns).fit(core) if len(chain_columns) >= 2 else None
-    model = FeatureModel(cfg, levels, draws, knn, chained, medians, train.count())
+    model = FeatureModel(cfg, levels, draws, knn, chained, medians, core.count())
     model.schema = schema_spec(model.transform(train, aligned=False))
     return model
