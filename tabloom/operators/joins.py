@@ -81,13 +81,13 @@ def with_share(counts: DataFrame, count: str = "count", within: Sequence[str] =
                out: str = "percent", digits: int | None = None, scale: float = 100.0) -> DataFrame:
     """Share of the total (of the group) on an already aggregated table.
 
-    The total is one small aggregate joined back, not a window over the whole table.
+    The total is one number, or one small aggregate joined back, never a window over the table.
     """
     if within:
         totals = counts.groupBy(*within).agg(F.sum(count).alias("_total"))
         joined = counts.join(totals, list(within))
     else:
-        joined = counts.crossJoin(F.broadcast(counts.agg(F.sum(count).alias("_total"))))
+        joined = counts.withColumn("_total", F.lit(counts.agg(F.sum(count)).first()[0]).cast("bigint"))
     share = F.col(count) / F.col("_total") * scale
     return joined.withColumn(out, F.round(share, digits) if digits is not None else share).drop("_total")
 

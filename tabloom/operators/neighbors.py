@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabloom.operators.columns import add_prefix, q
 from tabloom.operators.joins import keep_first
@@ -63,8 +64,17 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], order: S
     for above, level in zip([None, *tree.levels], tree.levels):
         boxes = tree.boxes(above, level)
         if above is None:
-            # At most 2^(level x d) rows per group, so this side is small by construction.
-            candidates = qs.join(F.broadcast(boxes), "_g")
+            # At most 2^(level x d) boxes per group: constants, or a list that is small by construction.
+            if group:
+                candidates = qs.join(F.broadcast(boxes), "_g")
+            else:
+                names = [c for c in boxes.columns if c != "_g"]
+                roots = [F.struct(*[F.lit(b[c]).cast(boxes.schema[c].dataType).alias(c) for c in names])
+                         for b in boxes.collect()]
+                if not roots:
+                    roots = [F.lit(None).cast(T.StructType([boxes.schema[c] for c in names]))]
+                candidates = qs.withColumn("_b", F.explode(F.array(*roots))).filter(
+                    F.col("_b").isNotNull()).select("*", "_b.*").drop("_b")
         else:
             candidates = candidates.select(*ident, *tree.renamed("p")).join(tree.hint(boxes), tree.key("p"))
         candidates = _prune(candidates, ident, tree.key("c"), d, k)

@@ -135,17 +135,16 @@ def median_category(df: DataFrame, column: str) -> str | None:
     counts = (df.filter(q(column).isNotNull()).groupBy(q(column).alias("level"))
               .agg(F.count("*").alias("n")))
     steps = counts.groupBy("n").agg(F.count("*").alias("levels"), F.sum("n").alias("rows"))
+    total = steps.agg(F.sum("rows")).first()[0]
+    if not total:
+        return None
     w = Window.orderBy(F.desc("n"))
     step = (steps.withColumn("upto", F.sum("rows").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .crossJoin(F.broadcast(steps.agg(F.sum("rows").alias("total"))))
-            .filter(F.col("upto") / F.col("total") >= 0.5).orderBy(F.desc("n")).limit(1).collect())
-    if not step:
-        return None
-    step = step[0]
+            .filter(F.col("upto") / F.lit(total) >= 0.5).orderBy(F.desc("n")).first())
     tied = counts.filter(F.col("n") == step["n"]).select("level")
     if step["levels"] == 1:
         return tied.first()["level"]
-    needed = math.ceil(step["total"] / 2 - (step["upto"] - step["rows"]))
+    needed = math.ceil(total / 2 - (step["upto"] - step["rows"]))
     nth = max(1, math.ceil(needed / step["n"]))
     # Distributed sort with positions; only the wanted level comes back.
     return tied.orderBy("level").rdd.zipWithIndex().filter(lambda p: p[1] == nth - 1).first()[0]["level"]

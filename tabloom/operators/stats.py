@@ -93,15 +93,18 @@ def rank_lookup(long: DataFrame, ranks: DataFrame, key: Sequence[str], rows: int
 # ---- contingency ------------------------------------------------------------
 
 def _pair_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Joint counts (pair, u, v, o) of all pairs from one scan, combined in each task first."""
+    """Joint counts (pair, u, v, o) of all pairs from one scan, combined in each task first.
+
+    Stored, since the marginals and the statistic read them again.
+    """
     names = sorted({c for p in pairs for c in p})
     at = {c: f"k{i}" for i, c in enumerate(names)}
     text = df.select(*[q(c).cast("string").alias(at[c]) for c in names])
     entries = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(at[a]).alias("u"), F.col(at[b]).alias("v"))
                         for i, (a, b) in enumerate(pairs)])
-    return (text.select(F.explode(entries).alias("e")).select("e.*")
-            .filter(F.col("u").isNotNull() & F.col("v").isNotNull())
-            .groupBy("pair", "u", "v").agg(F.count("*").alias("o")))
+    return cut_lineage(text.select(F.explode(entries).alias("e")).select("e.*")
+                       .filter(F.col("u").isNotNull() & F.col("v").isNotNull())
+                       .groupBy("pair", "u", "v").agg(F.count("*").alias("o")))
 
 
 def _pair_chi2(cells: DataFrame) -> DataFrame:

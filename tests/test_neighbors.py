@@ -47,3 +47,23 @@ def test_edges(spark):
     got = {r["id"]: (r["FARS__rid"], r["match_distance_km"]) for r in out}
     assert got[1][0] == 7 and got[2] == (None, None) and got[3] == (None, None)
     assert got[4][0] == 5 and abs(got[4][1] - 2.22) < 1e-5
+
+
+def test_no_right_points(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0)], "id int, lat double, lng double")
+    right = spark.createDataFrame([(1, None, 0.0)], "rid int, rlat double, rlng double")
+    out = nearest_capped(left, right, ("lat", "lng"), ("rlat", "rlng"), ["rid"], F.lit(1.0)).collect()
+    assert len(out) == 1 and out[0]["FARS__rid"] is None
+
+
+def test_points_on_a_line_and_one_place(spark):
+    rng = np.random.default_rng(4)
+    x = np.sort(np.concatenate([np.full(200, 0.5), rng.random(1500) ** 8]))
+    right = spark.createDataFrame([(i, float(v), float(v)) for i, v in enumerate(x)], "rid int, rlat double, rlng double")
+    queries = rng.random(200)
+    left = spark.createDataFrame([(i, float(v), float(v)) for i, v in enumerate(queries)], "id int, lat double, lng double")
+    out = nearest_capped(left, right, ("lat", "lng"), ("rlat", "rlng"), ["rid"], F.lit(1e9), leaf_points=4).collect()
+    for r in out:
+        v = queries[r["id"]]
+        best = np.abs(x - v).min()
+        assert np.isclose(abs(r["FARS__rlat"] - v), best, rtol=1e-9, atol=1e-15)
