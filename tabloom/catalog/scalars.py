@@ -15,7 +15,7 @@ from tabloom.plans import features as FT
 from tabloom.session import small_table
 
 
-def pick(key: str, values: list, start=None):
+def pick(key: str, values: list):
     """Value by key modulo the list length; None stays null."""
     chain = F.when(F.col(key) % len(values) == 0, F.lit(values[0]))
     for i, v in enumerate(values[1:], 1):

@@ -122,7 +122,6 @@ def encode_target(df: DataFrame, target: str, out: str, order: Sequence[str] | N
 
 def info_table(df: DataFrame) -> DataFrame:
     """Position, name, type, rows and non-null count of every column, from one pass."""
-    require(df, [])
     wide = df.agg(F.count("*").alias("rows"),
                   *[F.count(q(c)).alias(f"n{i}") for i, c in enumerate(df.columns)])
     parts = [F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column"),
