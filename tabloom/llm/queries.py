@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabloom.llm import exact_dedup, simhash
+from pyspark.sql import functions as F
+
+from tabloom.llm import exact_dedup, fingerprint, html_text, licenses, mixing, packing, simhash, toxicity, urls
 from tabloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,10 +16,10 @@ ORACLES: dict[str, str] = {}
 
 
 def query(name: str, source: str, sql: str | None = None):
-    """Register ``fn(df)`` over one whole table."""
+    """Register ``fn(df)`` over whole tables."""
     def add(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(table(spark, folder, source))
+            return fn(*[table(spark, folder, name) for name in source.split()])
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
         if sql is not None:
@@ -26,6 +28,73 @@ def query(name: str, source: str, sql: str | None = None):
     return add
 
 
+# The rules of the url query (verdict, host, start of the path).
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer that the packing query names."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_license_scan", "documents")
+def op2(docs: DataFrame) -> DataFrame:
+    """License labels of every document."""
+    return licenses.summary(licenses.scan(docs))
+
+
+@query("op3_html_extraction", "pages")
+def op3(pages: DataFrame) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(pages)
+
+
+@query("op4_url_filter", "pages")
+def op4(pages: DataFrame) -> DataFrame:
+    """Verdict on every page's url."""
+    return urls.judge(pages, URL_RULES)
+
+
+@query("op5_document_fingerprint", "documents")
+def op5(docs: DataFrame) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprint.fingerprints_with_next(docs)
+
+
+@query("op6_best_fit_packing", "documents")
+def op6(docs: DataFrame) -> DataFrame:
+    """Place of every token piece."""
+    return packing.packed(docs, tokenizer_path())
+
+
+@query("op7_source_mix", "documents", r"""
+    WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+    totals AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS place FROM d GROUP BY source),
+    listed AS (SELECT *, [5, 2, 1][place + 1]::BIGINT AS weight, 2.0::DOUBLE * source_size / [5, 2, 1][place + 1] AS ratio FROM totals),
+    ranked AS (SELECT *, (1.5::DOUBLE * (SELECT sum(source_size)::BIGINT FROM totals)
+            - 2.0::DOUBLE * coalesce(sum(source_size) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+            / (sum(weight) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level FROM listed),
+    goals AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * (SELECT arg_min(level, ratio) FROM ranked WHERE level <= ratio)) AS target FROM ranked),
+    units AS (SELECT d.doc_id, d.source, d.size, g.source_size, g.target,
+            CASE WHEN g.source_size > 0 THEN least(33554432, floor(g.target / g.source_size * 16777216 + 0.5)::BIGINT) ELSE 0 END AS units,
+            ('0x' || substr(md5('20:' || coalesce(d.source, '')), 1, 6))::BIGINT AS start
+        FROM d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
+    sums AS (SELECT *, start + sum(units) OVER (PARTITION BY source ORDER BY size, doc_id NULLS LAST ROWS UNBOUNDED PRECEDING)::BIGINT AS upto FROM units)
+    SELECT doc_id, source, size, source_size, target, upto // 16777216 - (upto - units) // 16777216 AS copies,
+        (upto // 16777216 - (upto - units) // 16777216) * size AS taken FROM sums""")
+def op7(docs: DataFrame) -> DataFrame:
+    """How often every document is taken."""
+    return mixing.mixture(docs)
+
+
+@query("op8_toxicity", "documents labels")
+def op8(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Toxicity score of every document."""
+    scored = toxicity.scored(docs.select("doc_id", "text"), toxicity.train(docs, labels))
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op9_simhash_near_dedup", "documents")
 def op9(docs: DataFrame) -> DataFrame:
     """Fingerprint and component of every document."""
