@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import exact_dedup, fingerprint, html_text, licenses, mixing, packing, simhash, toxicity, urls
+from tabloom.llm import exact_dedup, fingerprint, html_text, licenses, line_dedup, mixing, packing, simhash, toxicity, urls
 from tabloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,26 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_line_dedup", "documents", r"""
+    WITH split AS (SELECT coalesce(doc_id, 9223372036854775807) AS id, coalesce(text, '') AS text FROM documents),
+    lines AS (SELECT id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM split),
+    worded AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM lines),
+    summed AS (SELECT *, sum(words) OVER (PARTITION BY id ORDER BY pos)::BIGINT AS upto, sum(words) OVER (PARTITION BY id ORDER BY pos)::BIGINT - words AS start
+        FROM worded WHERE words > 0),
+    runs AS (SELECT id, pos AS a, max(pos) OVER f AS b, string_agg(line, chr(10)) OVER f AS body, sum(words) OVER f AS words FROM summed
+            WINDOW f AS (PARTITION BY id ORDER BY start RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+        UNION SELECT id, min(pos) OVER f, pos, string_agg(line, chr(10)) OVER f, sum(words) OVER f FROM summed
+            WINDOW f AS (PARTITION BY id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
+    copies AS (SELECT id, a, b, row_number() OVER (PARTITION BY body ORDER BY id, a) AS nth FROM runs WHERE words >= 50),
+    gone AS (SELECT DISTINCT id, unnest(range(a, b + 1)) AS pos FROM copies WHERE nth > 1),
+    marked AS (SELECT l.id, l.pos, l.line, g.pos IS NOT NULL AS gone FROM lines l LEFT JOIN gone g ON l.id = g.id AND l.pos = g.pos)
+    SELECT CASE WHEN id < 9223372036854775807 THEN id END AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM marked GROUP BY id""")
+def op1(docs: DataFrame) -> DataFrame:
+    """Every document without the later copies of long line runs."""
+    return line_dedup.deduplicated(docs).drop("spans")
+
+
 @query("op2_license_scan", "documents")
 def op2(docs: DataFrame) -> DataFrame:
     """License labels of every document."""
