@@ -163,6 +163,74 @@ def grace_buckets(parts: DataFrame, bucket_bytes: int) -> tuple[Column, DataFram
     return F.xxhash64("bucket", "depth"), out, 1 << first
 
 
+def _first_rows(batches: Iterator[tuple[int | None, pa.RecordBatch]], limit: int | None) -> Iterator[pa.Table]:
+    """The row with the smallest id (then text) of each text: per bucket, or each time the table holds ``limit``.
+
+    Batches have the columns id, h, norm and body first. Rows that may stay are copied out of
+    their batch, so that a batch is not held for one row.
+    """
+    held, best, rows, bucket = ContentTable(), [], [], None
+    for at, batch in batches:
+        if rows and (at != bucket or (limit is not None and held.bytes > limit)):
+            yield pa.Table.from_batches(rows).combine_chunks()
+            held, best, rows = ContentTable(), [], []
+        bucket, fresh = at, {}
+        for row, (key, h, norm, body) in enumerate(zip(*(batch.column(i).to_pylist() for i in range(4)))):
+            entry = held.entry(h, norm)
+            if entry == len(best):
+                best.append((_id(key), body or ""))
+                rows.append(batch)
+                fresh[entry] = row
+            elif (_id(key), body or "") < best[entry]:
+                best[entry] = (_id(key), body or "")
+                fresh[entry] = row
+        stay = batch.take(pa.array(list(fresh.values()), pa.int64()))
+        for place, entry in enumerate(fresh):
+            rows[entry] = stay.slice(place, 1)
+    if rows:
+        yield pa.Table.from_batches(rows).combine_chunks()
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Batches cut where the first column, the bucket, changes; without that column."""
+    for batch in batches:
+        values, start = batch.column(0).to_pylist(), 0
+        for end in range(1, len(values) + 1):
+            if end == len(values) or values[end] != values[start]:
+                part = batch.slice(start, end - start)
+                yield values[start], pa.RecordBatch.from_arrays(part.columns[1:], names=part.schema.names[1:])
+                start = end
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """The rows that stay, with all columns of ``docs``: of equal texts the one with the smallest key.
+
+    Equality, order and buckets as in ``exact_groups`` (of rows with equal key and text the
+    smallest original text stays). Documents travel whole, so the text moves once and no join
+    back to ``docs`` is needed.
+    """
+    names = [f"d{i}" for i in range(len(docs.columns))]
+    body, number = names[docs.columns.index(text)], names[docs.columns.index(key)]
+    rows = docs.toDF(*names).select(F.col(number).cast("long").alias("id"), collapse_space(whole(body)).alias("norm"), F.col(body).alias("body"), *names)
+    rows = rows.select("id", F.xxhash64("norm").alias("h"), "norm", "body", *names)
+    schema = rows.select("id", "h", F.lit(0).cast("long").alias("size"), *names).schema
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _first_rows(((None, b) for b in batches), bucket_bytes):
+            sizes = pa.array([len(t) for t in found["norm"].to_pylist()], pa.int64())
+            yield from pa.table([found["id"], found["h"], sizes, *(found[c] for c in names)], names=["id", "h", "size", *names]).to_batches(2000)
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in _first_rows(_runs(batches), None):
+            yield from found.select(names).to_batches(2000)
+
+    bucket, dealt, count = grace_buckets(saved(rows.mapInArrow(first, schema), "dedup-rows"), bucket_bytes)
+    n = max(count, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sorted_rows = dealt.select(bucket.alias("at"), "id", "h", *names).repartition(n, "at").sortWithinPartitions("at")
+    met = sorted_rows.select("at", "id", "h", collapse_space(whole(body)).alias("norm"), F.col(body).alias("body"), *names)
+    return met.mapInArrow(last, rows.select(*names).schema).toDF(*docs.columns)
+
+
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per document: ``key``, keep_id, group_size, kept, text_sha256.
 

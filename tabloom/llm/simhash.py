@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import bit_counts, saved, shingle_hashes, sorted_groups, whole
@@ -192,3 +192,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     reached = nodes.join(found, nodes["id"] == found["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     return (prints.join(reached, "fp", "left")
             .select(F.col("id").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest key.
+
+    If several rows have that key, the smallest text stays. Rows without a key cannot be told
+    apart; they stay. Only keys move to the documents, in one join.
+    """
+    found = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, size, radius)
+    stay = saved(found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_stay")).distinct(), "stay")
+    chosen = docs.join(stay, docs[key] == stay["_stay"], "left_semi")
+    order = Window.partitionBy(key).orderBy(F.asc_nulls_first(text))
+    return chosen.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place").unionByName(docs.where(F.col(key).isNull()))
