@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ END_ID = 1
 #: Pieces that are packed together; a group leaves about one sequence part filled.
 GROUP_PIECES = 16_384
 #: Cached words per worker; the cache is emptied when it is full.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -42,23 +43,52 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+#: Latin letters whose normal form and lower case are single letters, then ASCII marks but the apostrophe.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]*)([!-&(-/:-@\\[-`{-~]*)")
+
+
+@cache
+def _byte_marks() -> list[str]:
+    """The character that byte-level vocabularies use for each byte: itself if printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
+
+
 class WordEncoder:
     """Token ids of a text as little-endian 32-bit words.
 
     The tokenizer never joins characters across a space, tab or line feed, so the ids of a text
-    are those of its chunks in a row, and a chunk seen before is not encoded again.
+    are those of its chunks in a row, and a chunk seen before is not encoded again. A chunk of
+    plain letters and marks goes to the tokenizer's model, as its letters and its marks are the
+    two words that the tokenizer would cut it into; any other chunk goes through the tokenizer.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer, self.known = _tokenizer(path), {}
+        self.words, self.tokenize = {"": b""}, self.tokenizer.model.tokenize
+
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            shown = word if word.isascii() else "".join(map(_byte_marks().__getitem__, word.encode()))
+            ids = self.words[word] = np.array([t.id for t in self.tokenize(shown)], dtype="<u4").tobytes()
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunks = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        new = list(set().union(*chunks) - self.known.keys())
-        for word, coded in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[word] = np.array(coded.ids, dtype="<u4").tobytes()
+            self.words = {"": b""}
+        other = []
+        for chunk in set().union(*chunks) - self.known.keys():
+            plain = PLAIN.fullmatch(chunk)
+            if plain:
+                self.known[chunk] = self._word(plain[1].lower()) + self._word(plain[2])
+            else:
+                other.append(chunk)
+        for chunk, coded in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            self.known[chunk] = np.array(coded.ids, dtype="<u4").tobytes()
         get = self.known.__getitem__
         return [b"".join(map(get, c)) for c in chunks]
 
