@@ -49,6 +49,5 @@ def lng_sql(key: str, shift: int = 0) -> str:
     return f"(-74.26::DOUBLE + (({key} * 104729 + {shift}) % 58000)::DOUBLE / 100000.0::DOUBLE)"
 
 
-def hash_sql(key: str, seed: int) -> str:
-    return (f"((({key} % 2147483648) * 2654435761 + (({key} >> 31) % 2147483648) * 40503 + {seed})"
-            f" % 4294967296)")
+def hash_sql(key: str, seed: int, role: str) -> str:
+    return f"('0x' || substr(md5(concat_ws(':', '{role}', '{seed}', CAST({key} AS VARCHAR))), 1, 8))::BIGINT"

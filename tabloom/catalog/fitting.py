@@ -24,7 +24,7 @@ WITH counts AS (SELECT o_orderstatus AS c, count(*) AS n FROM orders GROUP BY 1)
 rest AS (SELECT c, n, q AS n2 FROM {_quota_sql('counts', '(total - CAST(ceil(0.15::DOUBLE * total) AS BIGINT))', 'q')}),
 kept AS (SELECT c, q FROM {_quota_sql('(SELECT c, n2 AS n FROM rest)',
          '(total - CAST(ceil(0.15::DOUBLE / (0.7::DOUBLE + 0.15::DOUBLE) * total) AS BIGINT))', 'q')}),
-placed AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {hash_sql('o_orderkey', 42)}, o_orderkey) AS rn FROM orders)
+placed AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY {hash_sql('o_orderkey', 42, 'split')}, o_orderkey) AS rn FROM orders)
 SELECT o_orderkey, o_orderstatus, CASE WHEN rn <= n - n2 THEN 'test' WHEN rn <= n - q THEN 'val' ELSE 'train' END AS split
 FROM placed JOIN rest ON rest.c = o_orderstatus JOIN kept ON kept.c = o_orderstatus"""
 
@@ -43,7 +43,7 @@ def split_sizes(read):
 @query("kfold_assign", f"""
 SELECT event_id, CAST(CASE WHEN rn <= n // 3 + CASE WHEN n % 3 > 0 THEN 1 ELSE 0 END THEN 0
   WHEN rn <= 2 * (n // 3) + least(n % 3, 2) THEN 1 ELSE 2 END AS INTEGER) AS fold
-FROM (SELECT event_id, row_number() OVER (ORDER BY {hash_sql('event_id', 42)}, event_id) AS rn, count(*) OVER () AS n FROM events)""")
+FROM (SELECT event_id, row_number() OVER (ORDER BY {hash_sql('event_id', 42, 'fold')}, event_id) AS rn, count(*) OVER () AS n FROM events)""")
 def kfold_assign(read):
     return folds(read("events").select("event_id"), ["event_id"])
 
@@ -58,7 +58,7 @@ g AS (SELECT day, event_type, value, row_number() OVER (PARTITION BY day, event_
       count(*) OVER (PARTITION BY day, event_type) AS n FROM e WHERE value IS NOT NULL),
 a AS (SELECT value, row_number() OVER (ORDER BY value) - 1 AS pos, count(*) OVER () AS n FROM e WHERE value IS NOT NULL),
 s AS (SELECT day, event_type, max(n) AS n FROM g GROUP BY 1, 2),
-w AS (SELECT e.event_id, e.day, e.event_type, s.n, {hash_sql('event_id', 42)} AS h FROM e LEFT JOIN s USING (day, event_type) WHERE e.value IS NULL)
+w AS (SELECT e.event_id, e.day, e.event_type, s.n, {hash_sql('event_id', 42, 'value')} AS h FROM e LEFT JOIN s USING (day, event_type) WHERE e.value IS NULL)
 SELECT event_id, value FROM e WHERE value IS NOT NULL
 UNION ALL SELECT w.event_id, g.value FROM w JOIN g USING (day, event_type) WHERE g.pos = w.h % w.n
 UNION ALL SELECT w.event_id, a.value FROM w JOIN a ON a.pos = w.h % a.n WHERE w.n IS NULL""")
@@ -167,7 +167,7 @@ def _fill_sql(c: str, seed: int) -> str:
     return f"""n_{c} AS (SELECT month(t) AS mo, event_type, {c} AS v, row_number() OVER (PARTITION BY month(t), event_type ORDER BY {c}) - 1 AS pos,
   count(*) OVER (PARTITION BY month(t), event_type) AS n FROM e WHERE day(t) <= 20 AND {c} IS NOT NULL),
 x_{c} AS (SELECT event_id, coalesce(e.{c}, (SELECT v FROM n_{c} WHERE mo = month(e.t) AND n_{c}.event_type = e.event_type
-  AND pos = {hash_sql('event_id', seed)} % n)) AS {c} FROM e)"""
+  AND pos = {hash_sql('event_id', 42, c)} % n)) AS {c} FROM e)"""
 
 
 @query("fit_apply_pipeline", f"""

@@ -11,6 +11,7 @@ from tabloom.operators import joins as J
 from tabloom.operators import tables as TB
 from tabloom.operators.neighbors import area_cap, nearest_capped
 from tabloom.operators.ranks import group_quantiles
+from tabloom.operators.split import disjoint
 from tabloom.session import small_table
 
 
@@ -149,7 +150,9 @@ SELECT year, count(*) AS "count" FROM (
 SELECT DISTINCT o_custkey, o_orderpriority, year(o_orderdate) AS year FROM orders) GROUP BY year)""")
 def union_years(read):
     orders = read("orders").withColumn("year", F.year("o_orderdate").cast("bigint"))
-    parts = [orders.filter(F.col("year") == y).select("o_custkey", "o_orderpriority", "year") for y in range(1995, 2002)]
+    ends = orders.agg(F.min("year"), F.max("year")).first()
+    years = range(ends[0], ends[1] + 1) if ends[0] is not None else [0]
+    parts = [orders.filter(F.col("year") == y).select("o_custkey", "o_orderpriority", "year") for y in years]
     counts = TB.union_all(parts).distinct().groupBy("year").agg(F.count("*").alias("count"))
     return J.with_share(counts, digits=4)
 
@@ -157,10 +160,11 @@ def union_years(read):
 @query("union_dedup", """
 SELECT o_custkey, o_orderdate, o_orderkey FROM (
 SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
-FROM orders WHERE o_orderstatus IN ('F', 'O')) WHERE rn = 1""")
+FROM orders WHERE o_orderstatus IS NOT NULL) WHERE rn = 1""")
 def union_dedup(read):
     orders = read("orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus")
-    parts = [orders.filter(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in ("F", "O")]
+    statuses = sorted(r[0] for r in orders.select("o_orderstatus").distinct().dropna().collect())
+    parts = [orders.filter(F.col("o_orderstatus") == s).drop("o_orderstatus") for s in statuses]
     return TB.union_distinct_by(parts, ["o_custkey"], ["o_orderdate", "o_orderkey"])
 
 
@@ -199,9 +203,13 @@ def null_safe_numeric(read):
     return rows.select("event_id", number_from_text(text).alias("k"))
 
 
-@query("splits_disjoint", "SELECT CAST(count(*) AS BIGINT) AS orders_without_items FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
+@query("splits_disjoint", """
+SELECT 'status' AS parts, count(*) = count(DISTINCT o_orderkey) AS apart FROM orders
+UNION ALL SELECT 'customer', NOT EXISTS (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(DISTINCT o_orderstatus) > 1)""")
 def splits_disjoint(read):
-    """Keys of one table that do not occur in another, as the emptiness check does it."""
-    orders = read("orders").select(F.col("o_orderkey").alias("k"))
-    items = read("lineitem").select(F.col("l_orderkey").alias("k"))
-    return orders.join(items, "k", "left_anti").agg(F.count("*").alias("orders_without_items"))
+    """Order keys and customer keys of the status parts: no key in two parts, and some in several."""
+    orders = read("orders")
+    statuses = sorted(r[0] for r in orders.select("o_orderstatus").distinct().dropna().collect())
+    parts = [orders.filter(F.col("o_orderstatus") == s) for s in statuses]
+    rows = [(name, disjoint(parts, [key])) for name, key in (("status", "o_orderkey"), ("customer", "o_custkey"))]
+    return small_table(orders.sparkSession, rows, "parts string, apart boolean")

@@ -94,24 +94,12 @@ def sign_bucket(c: Column, low: Column | str, high: Column | str, missing: Colum
     return F.when(c.isNull(), lit(missing)).when(c <= at, lit(low)).otherwise(lit(high))
 
 
-def mixed_hash(keys: Sequence[Column], seed: int, integral: bool) -> Column:
-    """Uniform value in ``[0, 2^32)`` that depends on the row key and the seed only.
+def key_hash(df: DataFrame, names: Sequence[str], seed: int, role: str) -> Column:
+    """Uniform value in ``[0, 2^32)`` that depends on the row key, the seed and the role only.
 
-    A single integer key uses integer arithmetic that any SQL engine can repeat;
-    other keys go through xxhash64.
+    The leading 32 bits of an MD5, which any SQL engine can repeat. Draws of different roles
+    (a split and its folds, two imputed columns) are independent of each other.
     """
-    if integral and len(keys) == 1:
-        k = keys[0].cast("bigint")
-        low = F.pmod(k, F.lit(1 << 31))
-        high = F.pmod(F.shiftright(k, 31), F.lit(1 << 31))
-        mixed = low * F.lit(2654435761) + high * F.lit(40503) + F.lit(int(seed))
-        return F.pmod(mixed, F.lit(1 << 32))
-    return F.pmod(F.xxhash64(*keys, F.lit(int(seed))), F.lit(1 << 32))
-
-
-def is_integral(df: DataFrame, names: Sequence[str]) -> bool:
-    return len(names) == 1 and isinstance(df.schema[names[0]].dataType, T.IntegralType)
-
-
-def key_hash(df: DataFrame, names: Sequence[str], seed: int) -> Column:
-    return mixed_hash([F.col(f"`{n}`") for n in names], seed, is_integral(df, names))
+    parts = [F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("\\N")) for n in names]
+    text = F.concat_ws(":", F.lit(role), F.lit(str(int(seed))), *parts)
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")

@@ -71,6 +71,17 @@ ZERO_TIME = r"^(?:0{1,2}:?0{1,2}(?::?0{1,2})?|0+)$"
 # Date forms accepted after cleaning; an ISO date may have a time with up to nine decimals.
 SLASH_YEAR_FIRST = r"^(\d{4})/(\d{1,2})/(\d{1,2})(?=$|[ T])"
 SLASH_YEAR_LAST = r"^(\d{1,2})/(\d{1,2})/(\d{4})(?=$|[ T])"
+ZONE_END = r"^(\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?) ?(?:Z|UTC|GMT|[+-]\d{2}:?\d{2})$"
+DIGITS_ONLY = r"^((?:19|20)\d{2})(\d{2})(\d{2})$"
+CLOCK = r"\d{1,2}:\d{2}"
+NAMED_FORMS = (
+    (rf"(?i)^\d{{4}}-\d{{1,2}}-\d{{1,2}} {CLOCK}:\d{{2}} ?[AP]M$", "y-M-d h:m:s[ ]a"),
+    (rf"(?i)^\d{{4}}-\d{{1,2}}-\d{{1,2}} {CLOCK} ?[AP]M$", "y-M-d h:m[ ]a"),
+    (r"(?i)^[a-z]{3,9}\.? \d{1,2},? \d{4}$", "MMM d y"),
+    (rf"(?i)^[a-z]{{3,9}}\.? \d{{1,2}},? \d{{4}} {CLOCK}:\d{{2}}$", "MMM d y H:m:s"),
+    (rf"(?i)^[a-z]{{3,9}}\.? \d{{1,2}},? \d{{4}} {CLOCK}$", "MMM d y H:m"),
+    (r"(?i)^\d{1,2} [a-z]{3,9}\.? \d{4}$", "d MMM y"),
+)
 ISO_START = r"^\d{4}-\d{1,2}-\d{1,2}(?:[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?)?$"
 
 
@@ -180,13 +191,21 @@ def clean_date_text(c: Column, fold_unicode: bool = True) -> Column:
 
 
 def parse_date_text(c: Column) -> Column:
-    """Timestamp without zone from ISO, year/month/day or month/day/year text; other text is null.
+    """Timestamp without zone from the usual forms; other text is null.
 
-    The slash forms are rewritten to ISO, so there is one cast however many forms are read.
+    ISO, year/month/day and month/day/year are rewritten to ISO and take one cast; a trailing
+    zone is dropped (the wall clock counts). Digits only, times with AM or PM and month names are
+    tried where their pattern fits.
     """
-    text = F.regexp_replace(c, SLASH_YEAR_FIRST, "$1-$2-$3")
+    text = F.regexp_replace(c, ZONE_END, "$1")
+    text = F.regexp_replace(text, SLASH_YEAR_FIRST, "$1-$2-$3")
     text = F.regexp_replace(text, SLASH_YEAR_LAST, "$3-$1-$2")
-    return F.regexp_extract(text, ISO_START, 0).try_cast("timestamp_ntz")
+    text = F.regexp_replace(text, DIGITS_ONLY, "$1-$2-$3")
+    parsed = F.regexp_extract(text, ISO_START, 0).try_cast("timestamp_ntz")
+    for pattern, form in NAMED_FORMS:
+        fits = F.when(text.rlike(pattern), F.regexp_replace(F.regexp_replace(text, ",", ""), r"(?i)\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?", "$1"))
+        parsed = F.coalesce(parsed, F.try_to_timestamp(F.initcap(fits) if "MMM" in form else F.upper(fits), F.lit(form)).cast("timestamp_ntz"))
+    return parsed
 
 
 def date_parts(ts: Column, prefix: str = "Event_", weekend: Sequence[int] = (4, 5),

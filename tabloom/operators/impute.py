@@ -100,7 +100,7 @@ class GroupDrawImputer:
         sizes = self.pools.groupBy("overall", *by, "feature").agg(F.sum("n").alias("size"))
         overall = {r["feature"]: r["size"] for r in sizes.filter("overall").collect()}
         wanted = F.array(*[F.when(number(gaps, f).isNull(), F.struct(
-            F.lit(f).alias("feature"), key_hash(gaps, self.keys, self.seed + i).alias("h"),
+            F.lit(f).alias("feature"), key_hash(gaps, self.keys, self.seed, f).alias("h"),
             F.lit(overall.get(f)).cast("bigint").alias("all_size"))) for i, f in enumerate(features)])
         asks = (gaps.select(*[q(k).alias(f"_k{i}") for i, k in enumerate(self.keys)],
                             *[q(b).alias(f"_b{i}") for i, b in enumerate(by)], F.explode(wanted).alias("e"))

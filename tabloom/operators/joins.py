@@ -24,9 +24,11 @@ AREA_BOXES = {
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the first by ``order``; aggregated map-side, so a hot key is no problem."""
     rest = [c for c in df.columns if c not in keys]
-    # min over a struct compares field by field; order columns lead, the others break ties.
+    # min over a struct compares field by field; order columns lead, the others break ties, and
+    # a flag before each field puts nulls last.
     fields = [*order, *[c for c in rest if c not in order]]
-    best = df.groupBy(*[q(k) for k in keys]).agg(F.min(F.struct(*[q(c) for c in fields])).alias("_first"))
+    flagged = [x for i, c in enumerate(fields) for x in (q(c).isNull().alias(f"_null{i}"), q(c))]
+    best = df.groupBy(*[q(k) for k in keys]).agg(F.min(F.struct(*flagged)).alias("_first"))
     return best.select(*[q(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
 
 
@@ -59,11 +61,6 @@ def fill_from_map(df: DataFrame, column: str, key, mapping: Mapping) -> DataFram
     return df.withColumn(column, F.coalesce(q(column), value_map(key, mapping)))
 
 
-def fill_zero_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    added = [c for c in right.columns if c not in keys]
-    return left.join(right, list(keys), "left").na.fill(0, subset=added)
-
-
 def box_join(points: DataFrame, lat: str, lng: str, boxes: Mapping = AREA_BOXES,
              name: str = "box") -> DataFrame:
     """One row per (point, containing box). The boxes are constants, so no join is needed."""

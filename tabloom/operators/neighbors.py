@@ -225,6 +225,14 @@ def area_cap(area: Column, caps: Mapping[str, float] = AREA_CAPS_KM, default: fl
     return chain.otherwise(F.lit(float(default))) if chain is not None else F.lit(float(default))
 
 
+def located_at(*names: str) -> Column:
+    """True where every coordinate is a finite number."""
+    known = F.lit(True)
+    for n in names:
+        known = known & F.coalesce(F.abs(q(n).cast("double")) < float("inf"), F.lit(False))
+    return known
+
+
 def nearest_capped(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], right_xy: tuple[str, str],
                    right_keys: Sequence[str], cap_km: Column, prefix: str = "FARS__",
                    distance: str = "match_distance_km", max_broadcast: int = BROADCAST_ROWS,
@@ -238,10 +246,10 @@ def nearest_capped(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
     ly, lx = left_xy
     ry, rx = right_xy
     rows = left.withColumn("_cap", cap_km.cast("double"))
-    located = q(ly).isNotNull() & q(lx).isNotNull()
+    located = located_at(ly, lx)
     places = (rows.filter(located).select(q(ly).cast("double").alias("_y"), q(lx).cast("double").alias("_x"),
                                           (F.col("_cap") / DEGREE_KM).alias("_reach"), "_cap").distinct())
-    spots = keep_first(right.filter(q(ry).isNotNull() & q(rx).isNotNull()), [ry, rx], list(right_keys))
+    spots = keep_first(right.filter(located_at(ry, rx)), [ry, rx], list(right_keys))
     spots = cut_lineage(spots)
     hits = nearest(places.select("_y", "_x", "_reach").distinct(),
                    spots.select(q(ry).alias("_y"), q(rx).alias("_x"), *[q(c) for c in right_keys]),

@@ -31,8 +31,23 @@ def _position(n: int, p: float) -> tuple[int, float]:
     return low, exact - low
 
 
-def _bin_of(v: Column, low: Column, high: Column, bins: int) -> Column:
-    return F.least(F.floor((v - low) / (high - low) * bins), F.lit(bins - 1)).cast("bigint")
+def _stretch(v: Column) -> Column:
+    """Order-preserving scale on which every power of two takes the same room."""
+    return F.when(v == 0, F.lit(0.0)).otherwise(F.signum(v) * (F.log2(F.abs(v)) + F.lit(1080.0)))
+
+
+def _bin_of(v: Column, low: Column, high: Column, bins: int, stretch: Column | None = None) -> Column:
+    """Bin of ``v`` in [low, high], low < high: the ends fall into different bins.
+
+    The widest ranges are halved first, so that their width stays finite.
+    """
+    huge = F.greatest(F.abs(low), F.abs(high)) > 1e300
+    half = F.when(huge, F.lit(0.5)).otherwise(F.lit(1.0))
+    at = (v * half - low * half) / (high * half - low * half)
+    if stretch is not None:
+        wide = F.try_divide(_stretch(v) - _stretch(low), _stretch(high) - _stretch(low))
+        at = F.when(stretch, F.coalesce(wide, at)).otherwise(at)
+    return F.greatest(F.lit(0), F.least(F.floor(at * bins), F.lit(bins - 1))).cast("bigint")
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
@@ -40,15 +55,19 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """Exact quantiles with linear interpolation; null and NaN are skipped.
 
     Returns columns x probs numbers. Each pass narrows the range around a wanted rank by
-    the factor ``bins``; a range with at most ``sort_rows`` rows is sorted.
+    the factor ``bins``; a range with at most ``sort_rows`` rows is sorted. Infinities are
+    counted apart. Where a pass gains little (values of very different size), the next one
+    divides by powers of two, so any range of doubles ends after a few passes.
     """
     columns = list(columns)
-    narrow = df.select(*[number(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    whole = df.select(*[number(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    finite = [F.when(F.abs(f"v{i}") < math.inf, F.col(f"v{i}")) for i in range(len(columns))]
+    narrow = whole.select(*[v.alias(f"v{i}") for i, v in enumerate(finite)])
     aggs = []
-    for i in range(len(columns)):
-        v = F.col(f"v{i}")
-        aggs += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
-    head = narrow.agg(*aggs).first()
+    for i, v in enumerate(finite):
+        aggs += [F.count(f"v{i}").alias(f"n{i}"), F.count(v).alias(f"f{i}"), F.count_if(F.col(f"v{i}") == -math.inf).alias(f"neg{i}"),
+                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+    head = whole.agg(*aggs).first()
 
     found: dict[tuple[int, int], float] = {}
     ranges = []
@@ -59,7 +78,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
             for p in probs:
                 low, share = _position(n, p)
                 ranks |= {low, low + 1} if share else {low}
-            ranges.append(_Range(i, i, head[f"lo{i}"], head[f"hi{i}"], 0, n, ranks))
+            before, inside = head[f"neg{i}"], head[f"f{i}"]
+            found |= {(i, k): -math.inf if k < before else math.inf for k in ranks if not before <= k < before + inside}
+            ranks = {k for k in ranks if before <= k < before + inside}
+            if ranks:
+                ranges.append(_Range(i, i, head[f"lo{i}"], head[f"hi{i}"], before, inside, ranks))
 
     levels: list[list[_Range]] = []
     while ranges := _unresolved(ranges, found):
@@ -79,7 +102,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
         for p in probs:
             low, share = _position(n, p)
             a = found[i, low]
-            row.append(a + (found[i, low + 1] - a) * share if share else a)
+            b = found[i, low + 1] if share else a
+            row.append(a if a == b else a * (1 - share) + b * share if math.isinf(b - a) else a + (b - a) * share)
         result[c] = row
     return result
 
@@ -95,6 +119,7 @@ class _Range:
     before: int
     n: int
     ranks: set[int]
+    stretch: bool = False
 
 
 def _unresolved(ranges: list[_Range], found: dict) -> list[_Range]:
@@ -109,7 +134,7 @@ def _unresolved(ranges: list[_Range], found: dict) -> list[_Range]:
             else:
                 left.add(k)
         if left:
-            rest.append(_Range(r.column, r.code, r.low, r.high, r.before, r.n, left))
+            rest.append(_Range(r.column, r.code, r.low, r.high, r.before, r.n, left, r.stretch))
     return rest
 
 
@@ -120,8 +145,8 @@ def _binned(narrow: DataFrame, levels: list[list[_Range]], bins: int) -> DataFra
     the wanted bins, found by a hash set of codes, and learn their limits from a tiny
     broadcast table (at most two ranges per column and quantile).
     """
-    def code(seg: Column, v: Column, low: Column, high: Column) -> Column:
-        return (seg * bins + _bin_of(v, low, high, bins)).alias("code")
+    def code(seg: Column, v: Column, low: Column, high: Column, stretch: Column | None = None) -> Column:
+        return (seg * bins + _bin_of(v, low, high, bins, stretch)).alias("code")
 
     hits = [F.struct(F.lit(s).cast("bigint").alias("s"), F.col(f"v{r.column}").alias("v"),
                      code(F.lit(s).cast("bigint"), F.col(f"v{r.column}"), F.lit(r.low), F.lit(r.high)))
@@ -130,10 +155,10 @@ def _binned(narrow: DataFrame, levels: list[list[_Range]], bins: int) -> DataFra
     e = (narrow.select(F.explode(F.array(*hits)).alias("e")).select("e.*").filter(F.col("v").isNotNull()))
     for ranges in levels[1:]:
         table = small_table(narrow.sparkSession, 
-            [(r.code, s, r.low, r.high) for s, r in enumerate(ranges)],
-            "code bigint, t bigint, low double, high double")
+            [(r.code, s, r.low, r.high, r.stretch) for s, r in enumerate(ranges)],
+            "code bigint, t bigint, low double, high double, stretch boolean")
         e = (e.filter(F.col("code").isin([r.code for r in ranges])).join(F.broadcast(table), "code")
-             .select(F.col("t").alias("s"), "v", code(F.col("t"), F.col("v"), F.col("low"), F.col("high"))))
+             .select(F.col("t").alias("s"), "v", code(F.col("t"), F.col("v"), F.col("low"), F.col("high"), F.col("stretch"))))
     return e
 
 
@@ -147,7 +172,8 @@ def _split_ranges(narrow: DataFrame, levels: list[list[_Range]], bins: int) -> l
             before, last = parent.before, parent
         inside = {k for k in parent.ranks if before <= k < before + row["n"]}
         if inside:
-            result.append(_Range(parent.column, row["code"], row["low"], row["high"], before, row["n"], inside))
+            little = row["n"] > 0.5 * parent.n and not parent.stretch
+            result.append(_Range(parent.column, row["code"], row["low"], row["high"], before, row["n"], inside, little))
         before += row["n"]
     return result
 
@@ -170,7 +196,7 @@ def _sort_ranges(narrow: DataFrame, levels: list, ranges: list[_Range], bins: in
 
 def rank_splits(df: DataFrame, columns: Sequence[str], rows: int, rows_per_bucket: int) -> list[list[float]]:
     """Inner range boundaries per column; empty when the data fits one bucket."""
-    buckets = min(4096, -(-rows // rows_per_bucket))
+    buckets = -(-rows // rows_per_bucket)
     if buckets <= 1:
         return [[] for _ in columns]
     probs = [b / buckets for b in range(1, buckets)]

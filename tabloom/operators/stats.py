@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import cache
 from itertools import combinations
 
 from pyspark.sql import DataFrame
@@ -242,10 +243,10 @@ def fisher_p(a: int, b: int, c: int, d: int) -> float:
 
 def mann_whitney_p(u: float, n1: int, n2: int, ties: float) -> float:
     """Two-sided p: exact counts for a tiny group without ties, else normal with ties and continuity."""
-    if ties == 0 and min(n1, n2) <= 8 and n1 * n2 <= 10_000:
-        counts = _u_counts(n1, n2)
-        big = max(u, n1 * n2 - u)
-        return min(1.0, 2 * sum(counts[math.ceil(big):]) / sum(counts))
+    if ties == 0 and min(n1, n2) <= 8:
+        small, large = sorted((int(n1), int(n2)))
+        beyond = small * large - math.ceil(max(u, n1 * n2 - u))  # the law is symmetric
+        return min(1.0, 2 * _u_at_most(small, large, beyond) / math.comb(small + large, small))
     n = n1 + n2
     var = n1 * n2 / 12 * ((n + 1) - ties / (n * (n - 1)))
     if var <= 0:
@@ -254,17 +255,36 @@ def mann_whitney_p(u: float, n1: int, n2: int, ties: float) -> float:
     return min(1.0, math.erfc(z / math.sqrt(2)))
 
 
-def _u_counts(n1: int, n2: int) -> list[int]:
-    """Number of orderings per U: coefficients of the Gaussian binomial."""
-    poly = [1]
-    for i in range(1, n1 + 1):
-        up = poly + [0] * (n2 + i)
-        for k in range(len(up) - 1, n2 + i - 1, -1):
-            up[k] -= up[k - n2 - i]
-        for k in range(i, len(up)):
-            up[k] += up[k - i]
-        poly = up[: i * n2 + 1]
-    return poly
+@cache
+def _u_series(n1: int) -> tuple[int, list[int]]:
+    """L and the polynomial N with 1 / ((1 - q)(1 - q)(1 - q^2)...(1 - q^n1)) = N(q) / (1 - q^L)^(n1 + 1)."""
+    period, poly = math.lcm(*range(1, n1 + 1)), [1]
+    for i in (1, *range(1, n1 + 1)):
+        wide = [0] * (len(poly) + period - i)
+        for at, c in enumerate(poly):
+            for k in range(at, at + period, i):
+                wide[k] += c
+        poly = wide
+    return period, poly
+
+
+def _u_at_most(n1: int, n2: int, k: int) -> int:
+    """Number of orderings of n1 and n2 values with U <= k, whatever the size of n2.
+
+    Coefficients of the Gaussian binomial: its numerator is a sum over subsets of the n1
+    factors 1 - q^(n2 + i), and each term is a cumulative count of partitions, which the
+    series gives in a few products.
+    """
+    period, poly = _u_series(n1)
+
+    def partitions(m: int) -> int:
+        return sum(poly[j] * math.comb((m - j) // period + n1, n1) for j in range(m % period, min(len(poly) - 1, m) + 1, period)) if m >= 0 else 0
+
+    total = 0
+    for chosen in range(1 << n1):
+        shift = sum(n2 + i + 1 for i in range(n1) if chosen >> i & 1)
+        total += (-1) ** chosen.bit_count() * partitions(k - shift)
+    return total
 
 
 # ---- tests --------------------------------------------------------------------

@@ -16,7 +16,7 @@ BACKGROUND_ROWS = 100
 
 def background_sample(df: DataFrame, keys: Sequence[str], rows: int = BACKGROUND_ROWS, seed: int = 42) -> DataFrame:
     """The ``rows`` rows with the smallest key hash, numbered from 0 (the explainer's reference set)."""
-    picked = (df.select(key_hash(df, keys, seed).alias("h"), F.struct(*[q(k) for k in keys]).alias("k"),
+    picked = (df.select(key_hash(df, keys, seed, "background").alias("h"), F.struct(*[q(k) for k in keys]).alias("k"),
                         vector_to_array("features").alias("b")).orderBy("h", "k").limit(rows))
     return picked.withColumn("slot", F.row_number().over(Window.orderBy("h", "k")) - 1).select("slot", "b")
 

@@ -42,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(folder)
         return folder
     if current is None:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tabloom-")
         context.setCheckpointDir(folder)
         return folder

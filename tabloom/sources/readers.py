@@ -18,12 +18,15 @@ from tabloom.operators.tables import union_all
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
-             null_text: str = "NaN", **options) -> DataFrame:
+             null_text: str = "NaN", line_breaks: bool = False, **options) -> DataFrame:
     """CSV with a header; names are trimmed, and both the null text and empty fields are null.
 
-    Give a schema for large inputs: inferring one costs a scan. A byte order mark is skipped by Spark.
+    Quotes inside a field are doubled. ``line_breaks`` allows line breaks inside quoted fields;
+    a file is then not split among tasks. Give a schema for large inputs: inferring one costs a
+    scan. A byte order mark is skipped by Spark.
     """
-    reader = spark.read.option("header", True).option("nullValue", null_text).options(**options)
+    reader = spark.read.option("header", True).option("nullValue", null_text).option("escape", '"')
+    reader = reader.option("multiLine", line_breaks).options(**options)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return strip_headers(reader.csv(path))
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.columns import info_table, q, require
 from tabloom.operators.stats import significant
+from tabloom.sources.readers import read_csv
 
 
 def write_parquet(df: DataFrame, path: str) -> str:
@@ -71,7 +72,7 @@ def write_selection(votes: DataFrame, selected: DataFrame, folder: str, metrics:
 
 def read_selection(spark, folder: str) -> list[str]:
     """Selected names in index order (one row per feature, so a short list)."""
-    table = spark.read.csv(f"{folder.rstrip('/')}/selected_features", header=True, inferSchema=True)
+    table = read_csv(spark, f"{folder.rstrip('/')}/selected_features")
     return [r["feature"] for r in table.orderBy("index").select("feature").collect()]
 
 

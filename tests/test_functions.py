@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tabloom.functions.numbers import key_hash
 from tabloom.functions import numbers as N
 from tabloom.functions import text as tx
 from tabloom.plans import clean as CL
@@ -89,3 +90,18 @@ def test_clean_pipeline(spark):
     assert [out[i]["Sunrise_Sunset"] for i in (1, 2, 3)] == [True, None, False]
     assert "FARS__ALC_RES" not in out[1].asDict() and "Street" not in out[1].asDict()
     assert CL.with_severity_bin(df).count() == 2
+
+
+def test_usual_date_forms(spark):
+    want = {"02/08/2016 05:46:00 PM": "2016-02-08 17:46:00", "02/08/2016 5:46 am": "2016-02-08 05:46:00", "2016-02-08T05:46:00Z": "2016-02-08 05:46:00",
+            "2016-02-08 05:46:00+02:00": "2016-02-08 05:46:00", "Feb 8 2016": "2016-02-08 00:00:00", "february 8, 2016 17:46": "2016-02-08 17:46:00",
+            "8 Feb 2016": "2016-02-08 00:00:00", "20160208": "2016-02-08 00:00:00", "2016/2/8": "2016-02-08 00:00:00", "19991399": None, "Foo 8 2016": None, "12": None}
+    got = values(spark, lambda c: tx.parse_date_text(tx.clean_date_text(c)), list(want))
+    assert [str(v) if v else None for v in got] == list(want.values())
+
+
+def test_key_hashes_of_two_roles_are_independent(spark):
+    df = spark.range(4000)
+    a, b, c = (key_hash(df, ["id"], *x) for x in ((42, "a"), (42, "b"), (43, "a")))
+    row = df.select(F.corr(a, b).alias("ab"), F.corr(a, c).alias("ac"), F.corr(a, F.col("id")).alias("ai"), F.avg(a).alias("m")).first()
+    assert max(abs(row["ab"]), abs(row["ac"]), abs(row["ai"])) < 0.06 and abs(row["m"] / 2**31 - 1) < 0.05

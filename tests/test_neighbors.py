@@ -67,3 +67,11 @@ def test_points_on_a_line_and_one_place(spark):
         v = queries[r["id"]]
         best = np.abs(x - v).min()
         assert np.isclose(abs(r["FARS__rlat"] - v), best, rtol=1e-9, atol=1e-15)
+
+
+def test_odd_coordinates_match_nothing(spark):
+    nan, inf = float("nan"), float("inf")
+    left = spark.createDataFrame([(1, 40.0, -73.0), (2, nan, -73.0), (3, 40.0, None), (4, inf, -73.0)], "id int, y double, x double")
+    right = spark.createDataFrame([(7, 40.001, -73.0), (8, nan, nan), (9, 40.0, inf)], "k int, ry double, rx double")
+    got = nearest_capped(left, right, ("y", "x"), ("ry", "rx"), ["k"], F.lit(5.0)).collect()
+    assert {r["id"]: r["FARS__k"] for r in got} == {1: 7, 2: None, 3: None, 4: None}

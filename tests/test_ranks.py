@@ -1,3 +1,5 @@
+import math
+
 """Exact quantiles and ranks against NumPy, through every narrowing path."""
 
 import numpy as np
@@ -51,3 +53,17 @@ def test_ranks_and_group_quantiles(sample, rows_per_bucket):
 def test_partitioning_does_not_matter(sample):
     df = sample[0]
     assert exact_quantiles(df.repartition(1), ["a"], PROBS) == exact_quantiles(df.repartition(17), ["a"], PROBS)
+
+
+@pytest.mark.parametrize("sort_rows", [1, 40, 10_000])
+def test_quantiles_of_infinite_and_very_wide_values(spark, sort_rows):
+    wide = [math.inf, -math.inf, math.inf, 1.7e308, -1.7e308, 0.0, 5e-324, -5e-324, 1e-300, 2e-300] + [1.0 + i / 64 for i in range(200)] + [10.0 ** -k for k in range(60)]
+    df = spark.createDataFrame([(v, float(i)) for i, v in enumerate(wide)], "a double, b double")
+    probs = [0.0, 0.01, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+    got = exact_quantiles(df, ["a", "b"], probs, bins=16, sort_rows=sort_rows)
+    rows = sorted(wide)
+    for p, g in zip(probs, got["a"]):
+        low = math.floor((len(rows) - 1) * p)
+        a, b, share = rows[low], rows[min(low + 1, len(rows) - 1)], (len(rows) - 1) * p - low
+        assert g == (a if a == b or not share else pytest.approx(a + (b - a) * share))
+    assert got["b"] == pytest.approx([(len(wide) - 1) * p for p in probs])

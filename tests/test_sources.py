@@ -153,3 +153,16 @@ def test_tables(spark):
     assert TB.best_row(df, "k") == {"k": 1, "g": "a"}
     with pytest.raises(ValueError):
         TB.levels_of(df, "g", limit=1)
+
+
+def test_csv_reads_its_own_writer(spark, tmp_path):
+    rows = [(1, 'he said "hi", ok\nnext'), (2, "back\\slash"), (3, None), (4, 'x"')]
+    df = spark.createDataFrame(rows, "k int, t string")
+    SK.write_csv(df, str(tmp_path / "own"))
+    assert sorted(tuple(r) for r in RD.read_csv(spark, str(tmp_path / "own"), line_breaks=True).collect()) == rows
+
+
+def test_lookup_prefers_a_value_over_null(spark):
+    left = spark.createDataFrame([("a",), ("b",)], "k string")
+    lookup = spark.createDataFrame([("a", None), ("a", "A"), ("b", None)], "k string, v string")
+    assert sorted(tuple(r) for r in J.lookup_left(left, lookup, "k", "k", ["v"]).collect()) == [("a", "A"), ("b", None)]

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabloom.operators import stats as S
-from tabloom.operators.stats import chi2_tail, fisher_p, mann_whitney_p, _u_counts
+from tabloom.operators.stats import chi2_tail, fisher_p, mann_whitney_p, _u_at_most
 
 
 def test_chi2_tail():
@@ -38,7 +38,17 @@ def test_u_counts():
         want = [0] * (n1 * n2 + 1)
         for pick in combinations(range(n1 + n2), n1):
             want[sum(pick) - n1 * (n1 - 1) // 2] += 1
-        assert _u_counts(n1, n2) == want
+        assert [_u_at_most(n1, n2, k) for k in range(-1, n1 * n2 + 1)] == [0, *(sum(want[:k + 1]) for k in range(n1 * n2 + 1))]
+
+
+def test_exact_law_has_no_size_limit():
+    for n1 in (1, 4, 8):
+        p = [mann_whitney_p(0, n1, n2, 0) for n2 in (2499, 2500, 2501, 10**6, 10**10)]
+        assert p == pytest.approx([min(1.0, 2 / math.comb(n1 + n2, n1)) for n2 in (2499, 2500, 2501, 10**6, 10**10)])
+    n1, n2 = 8, 100_000
+    u = n1 * n2 * 0.6
+    z = (u - n1 * n2 / 2) / math.sqrt(n1 * n2 / 12 * (n1 + n2 + 1))
+    assert mann_whitney_p(u, n1, n2, 0) == pytest.approx(math.erfc(z / math.sqrt(2)), rel=0.05)
 
 
 def test_mann_whitney_exact_and_normal():
