@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -12,16 +13,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import whole
+from tabloom.llm.common import saved, whole
 
 #: Labelled documents that a classifier is fitted on, at most; the fit is the only bounded part.
-SAMPLE_DOCS = 20_000
+SAMPLE_DOCS = 10_000
 #: Features that the model keeps, by how well they tell the classes apart in the sample.
 FEATURES = 2_000
 #: Beginnings of words (in UTF-8 bytes) that are features beside the words, for word families.
 PREFIXES = (4, 5, 6)
 #: Weight of the counterfactual penalty against the likelihood.
 PENALTY = 1.0
+#: Documents of the sample that a feature needs; ALL counts the documents themselves.
+MIN_DOCS, ALL = 5, -1
 FOLDS = 5
 CACHE_WORDS = 500_000
 
@@ -73,44 +76,60 @@ def held_out(key: str, folds: int = FOLDS) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds == 0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, size: int, groups: tuple[tuple[str, ...], ...]) -> list[tuple]:
-    """(label, features, added, removed) of at most ``size`` labelled documents outside the held-out fold.
+def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, size: int) -> DataFrame:
+    """(y, text) of at most ``size`` labelled documents outside the held-out fold.
 
     The sample is the labelled keys with the lowest hashes, so it does not depend on the order of
-    rows; only hashed features of that bounded sample reach the driver.
+    rows. A key with several labels has the largest.
     """
     known = labels.select(F.col(key).cast("long").alias("id"), F.col(label).cast("double").alias("y")).where("y IS NOT NULL AND id IS NOT NULL").where(~held_out("id"))
     chosen = known.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(size)
-    rows = docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text")).join(F.broadcast(chosen), "id")
+    return docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text")).join(F.broadcast(chosen), "id").select((F.col("y") > 0).cast("long").alias("y"), "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def telling_features(rows: DataFrame, top: int) -> list[int]:
+    """The ``top`` features by log-likelihood ratio between the classes; counted on the executors."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, toxic = Counter(), Counter()
         for batch in batches:
-            ys, features, added, removed = [], [], [], []
             for y, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                have = text_features(set(words(body))) | {ALL}
+                seen.update(have)
+                if y:
+                    toxic.update(have)
+        found = list(seen)
+        for at in range(0, len(found), 50_000):
+            part = found[at:at + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([seen[f] for f in part], pa.int64()), pa.array([toxic[f] for f in part], pa.int64())], names=["f", "n", "a"])
+
+    counts = saved(rows.mapInArrow(count, "f long, n long, a long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("a").alias("a")).where(f"n >= {MIN_DOCS} OR f = {ALL}"), "features")
+    totals = counts.where(F.col("f") == ALL).first()
+    if totals is None:
+        return []
+    total, ones = float(totals["n"]), float(totals["a"])
+    a, n = F.col("a").cast("double"), F.col("n").cast("double")
+    parts = [F.when(got > 0, got * F.log(got * total / (of * base))).otherwise(0.0) for got, of, base in
+             ((a, n, F.lit(ones)), (n - a, n, F.lit(total - ones)), (ones - a, total - n, F.lit(ones)), (total - ones - n + a, total - n, F.lit(total - ones)))]
+    best = counts.where(F.col("f") != ALL).select("f", sum(parts[1:], parts[0]).alias("ratio")).orderBy(F.desc("ratio"), "f").limit(top)
+    return [r["f"] for r in best.collect()]
+
+
+def training_sample(rows: DataFrame, kept: set[int], groups: tuple[tuple[str, ...], ...]) -> list[tuple]:
+    """(y, features, added, removed) of each row: its kept features, and what each swap of identity terms changes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features, added, removed = [], [], []
+            for body in batch.column(1).to_pylist():
                 found = set(words(body))
-                have = text_features(found)
-                ys.append(y)
+                have = text_features(found) & kept
                 features.append(sorted(have))
-                pairs = [(have, text_features(found - {old} | {new})) for old, new in swaps(found, groups)]
+                pairs = [(have, text_features(found - {old} | {new}) & kept) for old, new in swaps(found, groups)]
                 added.append([sorted(b - a) for a, b in pairs])
                 removed.append([sorted(a - b) for a, b in pairs])
-            yield pa.RecordBatch.from_arrays([pa.array(ys, pa.float64()), pa.array(features, pa.list_(pa.int64())), pa.array(added, pa.list_(pa.list_(pa.int64()))),
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.list_(pa.int64())), pa.array(added, pa.list_(pa.list_(pa.int64()))),
                                               pa.array(removed, pa.list_(pa.list_(pa.int64())))], names=["y", "features", "added", "removed"])
 
-    return [tuple(r) for r in rows.select("y", "text").mapInArrow(run, "y double, features array<long>, added array<array<long>>, removed array<array<long>>").toLocalIterator()]
-
-
-def _ranked(ids: np.ndarray, ys: np.ndarray, sizes: np.ndarray, top: int) -> np.ndarray:
-    """The ``top`` features by log-likelihood ratio between the classes."""
-    positive = np.repeat(ys > 0, sizes)
-    found, place = np.unique(ids, return_inverse=True)
-    a, n = np.bincount(place, weights=positive, minlength=len(found)), np.bincount(place, minlength=len(found))
-    rows, ones = len(ys), float((ys > 0).sum())
-    score = np.zeros(len(found))
-    for got, of, base in ((a, n, ones), (n - a, n, rows - ones), (ones - a, rows - n, ones), (rows - ones - n + a, rows - n, rows - ones)):
-        want = of * base / rows
-        score += np.where(got > 0, got * np.log(np.maximum(got, 1e-9) / np.maximum(want, 1e-9)), 0)
-    return found[np.lexsort((found, -score))[:top]]
+    return [tuple(r) for r in rows.mapInArrow(run, "y long, features array<long>, added array<array<long>>, removed array<array<long>>").collect()]
 
 
 class _Rows:
@@ -129,7 +148,7 @@ class _Rows:
         return np.bincount(self.col, weights=self.val * r[self.row], minlength=size) if len(self.row) else np.zeros(size)
 
 
-def fit(sample: list[tuple], groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, top: int = FEATURES, penalty: float = PENALTY, steps: int = 400, ridge: float = 1e-4) -> Classifier:
+def fit(sample: list[tuple], kept: set[int] | None = None, penalty: float = PENALTY, steps: int = 400, ridge: float = 1e-4) -> Classifier:
     """Minimise log-loss + penalty * mean squared score change under the swaps + ridge, by Adam steps.
 
     Rows are put in order first, so the model does not depend on the order in which they arrive.
@@ -140,8 +159,7 @@ def fit(sample: list[tuple], groups: tuple[tuple[str, ...], ...] = IDENTITY_TERM
     bias = math.log((ys.sum() + 0.5) / (len(ys) - ys.sum() + 1.5))
     if not len(ys) or ys.min() == ys.max():
         return Classifier(bias)
-    ids, sizes = np.concatenate([np.array(r[1], dtype=np.int64) for r in sample]), np.array([len(r[1]) for r in sample])
-    kept = np.union1d(_ranked(ids, ys, sizes, top), np.array(sorted(text_features({t.encode() for g in groups for t in g})), dtype=np.int64))
+    kept = np.array(sorted({f for r in sample for f in r[1]}), dtype=np.int64) if kept is None else np.array(sorted(kept), dtype=np.int64)
     place = {int(f): i for i, f in enumerate(kept)}
     x = _Rows([[(place[f], 1.0) for f in r[1] if f in place] for r in sample])
     swapped = _Rows([[(place[f], 1.0) for f in plus if f in place] + [(place[f], -1.0) for f in minus if f in place]
@@ -184,7 +202,9 @@ def scorer(model: Classifier) -> Callable[[Iterator[pa.Array]], Iterator[pa.Arra
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE_DOCS,
           groups: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, penalty: float = PENALTY) -> Classifier:
-    return fit(training_sample(docs, labels, key, text, label, sample, groups), groups, penalty=penalty)
+    rows = training_rows(docs, labels, key, text, label, sample)
+    kept = {*telling_features(rows, FEATURES), *text_features({t.encode() for g in groups for t in g})}
+    return fit(training_sample(rows, kept, groups), kept, penalty)
 
 
 def scored(docs: DataFrame, model: Classifier, text: str = "text", score: str = "score") -> DataFrame:
