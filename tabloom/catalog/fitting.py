@@ -163,15 +163,15 @@ CAST(CASE WHEN event_id % 7 <> 0 THEN value / 100 END AS FLOAT)::DOUBLE AS rain,
 CAST(CASE WHEN event_id % 3 <> 0 THEN value * 2 END AS FLOAT)::DOUBLE AS wind FROM events"""
 
 
-def _fill_sql(c: str, seed: int) -> str:
+def _fill_sql(c: str, role: str) -> str:
     return f"""n_{c} AS (SELECT month(t) AS mo, event_type, {c} AS v, row_number() OVER (PARTITION BY month(t), event_type ORDER BY {c}) - 1 AS pos,
   count(*) OVER (PARTITION BY month(t), event_type) AS n FROM e WHERE day(t) <= 20 AND {c} IS NOT NULL),
 x_{c} AS (SELECT event_id, coalesce(e.{c}, (SELECT v FROM n_{c} WHERE mo = month(e.t) AND n_{c}.event_type = e.event_type
-  AND pos = {hash_sql('event_id', 42, c)} % n)) AS {c} FROM e)"""
+  AND pos = {hash_sql('event_id', 42, role)} % n)) AS {c} FROM e)"""
 
 
 @query("fit_apply_pipeline", f"""
-WITH e AS ({RAW_EVENTS}), {_fill_sql('rain', 42)}, {_fill_sql('wind', 43)},
+WITH e AS ({RAW_EVENTS}), {_fill_sql('rain', 'Precipitation(in)')}, {_fill_sql('wind', 'Wind_Speed(mph)')},
 top AS (SELECT greatest(1.892::DOUBLE, max(dist)) AS hi FROM e WHERE day(t) <= 20)
 SELECT event_id, CAST(year(t) AS BIGINT) AS "Event_Year", CAST(day(t) AS BIGINT) AS "Event_Day", CAST(hour(t) AS DOUBLE) AS "Event_Hour",
 isodow(t) IN (5, 6) AS "Is_Weekend", CASE WHEN hour(t) BETWEEN 6 AND 21 THEN 'Day' ELSE 'Night' END AS "DayNight_3cat",

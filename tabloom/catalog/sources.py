@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tabloom.catalog.base import query
 from tabloom.operators.profile import categorical_missing, numeric_profile
-from tabloom.operators.tables import frequency
+from tabloom.operators.tables import best_row, frequency
 from tabloom.sources import readers as RD
 from tabloom.sources import sinks as SK
 from tabloom.session import scratch_path
@@ -22,12 +22,81 @@ ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_tota
               "o_orderdate timestamp_ntz, o_orderpriority string")
 
 
-@query("roundtrip_csv", "SELECT * FROM orders")
+@query("roundtrip_csv", """
+SELECT *, 'said "' || o_orderstatus || '", ok' || chr(10) || 'back\\slash ' || o_orderpriority AS note FROM orders""")
 def roundtrip_csv(read):
-    orders = read("orders")
+    """Text with quotes, commas, line breaks and backslashes comes back as it was."""
+    orders = read("orders").withColumn("note", F.concat(F.lit('said "'), "o_orderstatus", F.lit('", ok\nback\\slash '), "o_orderpriority"))
     folder = scratch_path(orders.sparkSession, "csv")
     SK.export_dataset(orders, folder, "orders")
-    return RD.read_csv(orders.sparkSession, f"{folder}/orders.csv", ORDERS_DDL)
+    return RD.read_csv(orders.sparkSession, f"{folder}/orders.csv", ORDERS_DDL + ", note string", line_breaks=True)
+
+
+@query("read_any_roundtrip", """
+SELECT 'preferred' AS kind, n_nationkey, n_name FROM nation
+UNION ALL SELECT 'first', r_regionkey, r_name FROM region UNION ALL SELECT 'parquet', n_nationkey, n_name FROM nation""")
+def read_any_roundtrip(read):
+    """The preferred CSV of a folder, else the first one; and the Parquet export."""
+    nation, region = read("nation"), read("region")
+    spark = nation.sparkSession
+    folder, other = scratch_path(spark, "any"), scratch_path(spark, "any")
+    SK.write_csv(region, f"{folder}/a.csv")
+    SK.write_csv(nation, f"{folder}/train.csv")
+    SK.write_csv(region, f"{other}/b.csv")
+    SK.write_csv(nation, f"{other}/c.csv")
+    parquet = SK.write_parquet(nation, f"{other}/nation.parquet")
+    tables = [("preferred", RD.read_any(spark, folder), "n"), ("first", RD.read_any(spark, other), "r"), ("parquet", RD.read_parquet(spark, parquet), "n")]
+    parts = [t.select(F.lit(kind).alias("kind"), F.col(f"{x}_{'nation' if x == 'n' else 'region'}key").alias("n_nationkey"), F.col(f"{x}_name").alias("n_name")) for kind, t, x in tables]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("selection_roundtrip", """
+SELECT o_orderkey, o_totalprice, o_shippriority_rank, 'train' AS split FROM (
+SELECT o_orderkey, o_totalprice, length(o_orderpriority) AS o_shippriority_rank FROM orders)
+UNION ALL SELECT o_orderkey, o_totalprice, NULL, 'target' FROM orders""")
+def selection_roundtrip(read):
+    """Selected names survive, and the processed split and its target are written by them."""
+    orders = read("orders").select("o_orderkey", "o_totalprice", F.length("o_orderpriority").alias("o_shippriority_rank"), "o_custkey")
+    spark = orders.sparkSession
+    folder = scratch_path(spark, "selection")
+    rank = orders.agg(*[F.approx_count_distinct(c).alias(c) for c in orders.columns])
+    votes = rank.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(i).alias("index"), F.lit(3).alias("Sum")) for i, c in enumerate(rank.columns)])).alias("e")).select("e.*")
+    selected = votes.filter(F.col("feature").isin("o_totalprice", "o_shippriority_rank"))
+    SK.write_selection(votes, selected, folder, metrics=votes)
+    names = SK.read_selection(spark, folder)
+    train = spark.read.parquet(SK.write_processed_split(orders, names, folder, "train", keys=["o_orderkey"]))
+    target = spark.read.parquet(SK.write_target(orders, "o_totalprice", folder, "train", ["o_orderkey"]))
+    return train.withColumn("split", F.lit("train")).unionByName(target.withColumn("split", F.lit("target")), allowMissingColumns=True)
+
+
+@query("tests_report", """
+WITH t AS (SELECT l_returnflag || l_linestatus AS feature, (count(*) % 97) / 400.0::DOUBLE AS p_value FROM lineitem GROUP BY 1)
+SELECT 'all_tests' AS part, feature, p_value FROM t UNION ALL SELECT 'significant', feature, p_value FROM t WHERE p_value < 0.05""")
+def tests_report(read):
+    """All tests and the significant ones, written and read."""
+    items = read("lineitem")
+    tests = items.groupBy(F.concat("l_returnflag", "l_linestatus").alias("feature")).agg((F.count("*") % 97 / F.lit(400.0)).alias("p_value"))
+    folder = scratch_path(items.sparkSession, "tests")
+    SK.write_tests(tests, folder)
+    parts = [RD.read_parquet(items.sparkSession, f"{folder}/{n}").withColumn("part", F.lit(n)) for n in ("all_tests", "significant")]
+    return parts[0].unionByName(parts[1])
+
+
+@query("tuning_roundtrip", """
+WITH r AS (SELECT o_orderpriority AS "Model", avg(o_totalprice) AS rmse, count(*) AS n FROM orders GROUP BY 1)
+SELECT "Model" AS model, n AS n_estimators, CAST("Model" = (SELECT "Model" FROM r ORDER BY rmse LIMIT 1) AS BOOLEAN) AS best FROM r""")
+def tuning_roundtrip(read):
+    """Results with their parameters as JSON text, stored, read and ranked."""
+    orders = read("orders")
+    spark = orders.sparkSession
+    results = orders.groupBy(F.col("o_orderpriority").alias("Model")).agg(
+        F.avg("o_totalprice").alias("VALID_RMSE"), F.to_json(F.struct(F.count("*").alias("n_estimators"))).alias("Best_Params_Grid"))
+    folder = scratch_path(spark, "tuning")
+    SK.write_tuning(results, folder)
+    stored = SK.read_tuning(spark, folder)
+    best = best_row(stored.select("Model", "VALID_RMSE", "Best_Params_Grid"), "VALID_RMSE")
+    return stored.select(F.col("Model").alias("model"), F.get_json_object("Best_Params_Grid", "$.n_estimators").cast("bigint").alias("n_estimators"),
+                         (F.col("Model") == best["Model"]).alias("best"))
 
 
 @query("roundtrip_report", """

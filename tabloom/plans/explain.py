@@ -10,15 +10,21 @@ from pyspark.sql import functions as F
 
 from tabloom.functions.numbers import key_hash
 from tabloom.operators.columns import q
+from tabloom.session import cut_lineage
 
-BACKGROUND_ROWS = 100
+def background_rows(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
+    """All rows of the reference set, numbered from 0 in the order of their key hash (slot, b).
 
-
-def background_sample(df: DataFrame, keys: Sequence[str], rows: int = BACKGROUND_ROWS, seed: int = 42) -> DataFrame:
-    """The ``rows`` rows with the smallest key hash, numbered from 0 (the explainer's reference set)."""
-    picked = (df.select(key_hash(df, keys, seed, "background").alias("h"), F.struct(*[q(k) for k in keys]).alias("k"),
-                        vector_to_array("features").alias("b")).orderBy("h", "k").limit(rows))
-    return picked.withColumn("slot", F.row_number().over(Window.orderBy("h", "k")) - 1).select("slot", "b")
+    Rows are sorted in ranges; a row's number is its place in its range plus the rows before it.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.select(key_hash(df, keys, seed, "background").alias("h"), F.struct(*[q(k) for k in keys]).alias("k"), vector_to_array("features").alias("b"))
+    dealt = cut_lineage(rows.repartitionByRange(n, "h", "k").sortWithinPartitions("h", "k")
+                        .select("b", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")))
+    parts = dealt.groupBy("part").agg(F.min("at").alias("first"), F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = parts.select("part", "first", F.coalesce(before, F.lit(0)).alias("before"))
+    return dealt.join(F.broadcast(starts), "part").select((F.col("at") - F.col("first") + F.col("before")).alias("slot"), "b")
 
 
 def shapley(model, rows: DataFrame, background: DataFrame, keys: Sequence[str], features: Sequence[str],
@@ -26,7 +32,7 @@ def shapley(model, rows: DataFrame, background: DataFrame, keys: Sequence[str],
     """``*keys, feature, phi, base, prediction`` for all rows.
 
     Each row walks through random feature orders (every second one reversed), swapping its
-    values into a background row one feature at a time. A prediction counts for the feature
+    values into a row of the background (any of them) one feature at a time. A prediction counts for the feature
     swapped in before it and against the one swapped in after it, so the attributions are a
     plain sum and add up to prediction - base exactly. All predictions come from one
     ``model.transform``; a row's contributions are combined in its task before the shuffle.
@@ -36,8 +42,8 @@ def shapley(model, rows: DataFrame, background: DataFrame, keys: Sequence[str],
     ids = [q(k) for k in keys]
     walks = (rows.select(*ids, vector_to_array("features").alias("x"),
                          F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("walk"))
-             .withColumn("slot", F.pmod(F.xxhash64(*ids, "walk", F.lit(seed)), F.lit(slots)).cast("int")))
-    walks = walks.join(F.broadcast(background), "slot")
+             .withColumn("slot", F.pmod(F.xxhash64(*ids, "walk", F.lit(seed)), F.lit(slots)).cast("bigint")))
+    walks = walks.join(background, "slot")
     pair = F.floor(F.col("walk") / 2)
     places = F.sequence(F.lit(0), F.lit(d - 1))
     mixed = F.array_sort(F.transform(places, lambda i: F.struct(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.columns import info_table, q, require
 from tabloom.operators.stats import significant
-from tabloom.sources.readers import read_csv
+from tabloom.sources.readers import path_exists, read_csv
 
 
 def write_parquet(df: DataFrame, path: str) -> str:
@@ -76,6 +76,20 @@ def read_selection(spark, folder: str) -> list[str]:
     return [r["feature"] for r in table.orderBy("index").select("feature").collect()]
 
 
+def write_tuning(results: DataFrame, folder: str) -> str:
+    """The table of tuning results; parameters are JSON text."""
+    require(results, ["Model", "VALID_RMSE", "Best_Params_Grid"])
+    return write_parquet(results, f"{folder.rstrip('/')}/tuning_results")
+
+
+def read_tuning(spark, folder: str) -> DataFrame:
+    """Stored tuning results, from Parquet or, where another tool wrote them, from CSV."""
+    folder = folder.rstrip("/")
+    if path_exists(spark, f"{folder}/tuning_results"):
+        return spark.read.parquet(f"{folder}/tuning_results")
+    return read_csv(spark, f"{folder}/tuning_results.csv")
+
+
 def write_attributions(values: DataFrame, expected: float, folder: str) -> None:
     folder = folder.rstrip("/")
     write_parquet(values, f"{folder}/values")

@@ -77,8 +77,9 @@ def test_metrics(spark):
 
 
 def test_parameters():
-    assert TU.around(400, 100, 100, 1000) == [300, 400, 500]
-    assert TU.around_factor(0.03, 2.0, 0.01, 0.3) == [0.015, 0.03, 0.06]
+    forest = TU.refined_grid("RandomForestRegressor", {"n_estimators": 400, "max_depth": 4})
+    assert forest["n_estimators"] == [300, 400, 500] and forest["max_depth"] == [4, 6]
+    assert TU.refined_grid("XGBRegressor", {"learning_rate": 0.2})["learning_rate"] == [0.1, 0.2, 0.3]
     grid = TU.refined_grid("XGBRegressor", {"n_estimators": 400, "max_depth": 10, "learning_rate": 0.03, "subsample": 0.6, "colsample_bytree": 0.8})
     assert 11 in grid["max_depth"] and 0.015 in grid["learning_rate"] and 0.75 in grid["subsample"]
     assert TU.refined_grid("RandomForestRegressor", {"max_depth": None, "max_features": "log2"})["max_depth"] == [None, 8, 12, 16]
@@ -164,7 +165,7 @@ def test_tuning_and_refit(vectors):
 def test_shapley_adds_up(vectors):
     df, a, _y = vectors
     model = M.make_regressor("GradientBoostingRegressor", {"n_estimators": 4}).fit(df)
-    background = X.background_sample(df, ["k"], 15).cache()
+    background = X.background_rows(df.orderBy("k").limit(15), ["k"]).cache()
     values = X.shapley(model, df, background, ["k"], ["a", "b", "c"], permutations=4)
     pdf = values.toPandas()
     assert len(pdf) == 900
