@@ -86,7 +86,7 @@ def copied_runs(lines: DataFrame, n: int) -> DataFrame:
     tail = levels.select(*DOC, "level", F.col("seq").alias("last"), F.col("rank").alias("tail"))
     named = saved(head.withColumn("last", (F.col("seq") + F.col("m") - F.expr("shiftleft(1, level)")).cast("int")).join(tail, [*DOC, "level", "last"])
                   .select(*DOC, "seq", "m", "head", "tail", "a", "b"), "line-runs")
-    firsts = named.groupBy("m", "head", "tail").agg(F.min(F.struct(*DOC, "seq")).alias("first")).select("m", "head", "tail", "first")
+    firsts = saved(named.groupBy("m", "head", "tail").agg(F.min(F.struct(*DOC, "seq")).alias("first")), "line-firsts")  # saved, so that the join can split a popular run
     return named.join(firsts, ["m", "head", "tail"]).where(F.struct(*DOC, "seq") != F.col("first")).select(*DOC, "a", "b")
 
 
@@ -116,7 +116,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
     lines = saved(line_table(docs, key, text, min_words), "lines")
     spans = saved(merged_spans(copied_runs(lines, n)), "line-spans")
     rows = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("id"), whole(text).alias("text")).withColumn("th", F.xxhash64("text"))
-    joined = rows.join(spans, DOC, "left").withColumn("spans", F.coalesce("spans", F.expr("CAST(array() AS array<struct<a:int,b:int>>)"))).withColumn("lines", F.split("text", "\n"))
+    # The texts are shuffled to their spans at every size: the spans grow with the data, so they are not broadcast.
+    joined = rows.join(spans.hint("shuffle_hash"), DOC, "left").withColumn("spans", F.coalesce("spans", F.expr("CAST(array() AS array<struct<a:int,b:int>>)"))).withColumn("lines", F.split("text", "\n"))
     kept = F.expr("filter(lines, (line, i) -> NOT exists(spans, s -> s.a <= i AND i <= s.b))")
     clean = F.when(F.size("spans") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
     deleted = F.expr("aggregate(spans, 0, (acc, s) -> acc + s.b - s.a + 1)")
