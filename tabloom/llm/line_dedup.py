@@ -71,7 +71,7 @@ def _level(m: Column) -> Column:
 
 
 def copied_runs(lines: DataFrame, n: int) -> DataFrame:
-    """(id, th, first line, last line) of every shortest long run that has an earlier copy.
+    """(id, th, seq, m, first line, last line) of every shortest long run that has an earlier copy.
 
     A run of m lines is named by the ranks of its first and its last 2**k lines, 2**k <= m: equal
     names are one interval of the suffix array with a common prefix of m lines. The copy with the
@@ -87,13 +87,13 @@ def copied_runs(lines: DataFrame, n: int) -> DataFrame:
     named = saved(head.withColumn("last", (F.col("seq") + F.col("m") - F.expr("shiftleft(1, level)")).cast("int")).join(tail, [*DOC, "level", "last"])
                   .select(*DOC, "seq", "m", "head", "tail", "a", "b"), "line-runs")
     firsts = saved(named.groupBy("m", "head", "tail").agg(F.min(F.struct(*DOC, "seq")).alias("first")), "line-firsts")  # saved, so that the join can split a popular run
-    return named.join(firsts, ["m", "head", "tail"]).where(F.struct(*DOC, "seq") != F.col("first")).select(*DOC, "a", "b")
+    return named.join(firsts, ["m", "head", "tail"]).where(F.struct(*DOC, "seq") != F.col("first")).select(*DOC, "seq", "m", "a", "b")
 
 
 def merged_spans(runs: DataFrame) -> DataFrame:
-    """(id, th, spans): the runs of a document as disjoint, sorted spans of lines."""
-    order = Window.partitionBy(*DOC).orderBy("a", "b")
-    opens = F.coalesce(F.col("a") > F.max("b").over(order.rowsBetween(Window.unboundedPreceding, -1)) + 1, F.lit(True))
+    """(id, th, spans): the runs of a document as disjoint, sorted spans; runs that touch are one span."""
+    order = Window.partitionBy(*DOC).orderBy("seq", "m")
+    opens = F.coalesce(F.col("seq") > F.max(F.col("seq") + F.col("m")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
     islands = runs.withColumn("opens", opens.cast("int")).withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     spans = islands.groupBy(*DOC, "island").agg(F.min("a").alias("a"), F.max("b").alias("b"))
     return spans.groupBy(*DOC).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))
@@ -105,7 +105,8 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
     Deleted are exactly the lines that lie in a run of lines with at least ``min_words`` words
     which stands earlier too (smaller key, or further up in the same document; null keys come
     last, documents of one key in order of the hash of their text). Lines are compared whole, by
-    128 bits of hash; lines without a word do not count and go with the run around them. The
+    128 bits of hash; lines without a word do not count, and go where the lines with words before
+    and after them both go. The
     copies of a run may overlap. Null counts as empty; rows with equal key and text are treated as
     one document, and each is returned. Other columns are not looked at.
 

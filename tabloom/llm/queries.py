@@ -49,8 +49,10 @@ def tokenizer_path() -> str:
         UNION SELECT id, min(pos) OVER f, pos, string_agg(line, chr(10)) OVER f, sum(words) OVER f FROM summed
             WINDOW f AS (PARTITION BY id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
     copies AS (SELECT id, a, b, row_number() OVER (PARTITION BY body ORDER BY id, a) AS nth FROM runs WHERE words >= 50),
-    gone AS (SELECT DISTINCT id, unnest(range(a, b + 1)) AS pos FROM copies WHERE nth > 1),
-    marked AS (SELECT l.id, l.pos, l.line, g.pos IS NOT NULL AS gone FROM lines l LEFT JOIN gone g ON l.id = g.id AND l.pos = g.pos)
+    hit AS (SELECT DISTINCT id, unnest(range(a, b + 1)) AS pos FROM copies WHERE nth > 1),
+    seen AS (SELECT w.id, w.pos, w.line, CASE WHEN w.words > 0 THEN h.pos IS NOT NULL END AS hit FROM worded w LEFT JOIN hit h ON w.id = h.id AND w.pos = h.pos),
+    marked AS (SELECT id, pos, line, coalesce(last_value(hit IGNORE NULLS) OVER (PARTITION BY id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), false)
+        AND coalesce(first_value(hit IGNORE NULLS) OVER (PARTITION BY id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), false) AS gone FROM seen)
     SELECT CASE WHEN id < 9223372036854775807 THEN id END AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted,
         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text FROM marked GROUP BY id""")
 def op1(docs: DataFrame) -> DataFrame:

@@ -19,7 +19,11 @@ def brute(rows, least):
             while s + m < len(lines[k]) and r + m < len(lines[j]) and lines[k][s + m][1] == lines[j][r + m][1]:
                 m += 1
             if sum(len(x.split()) for _, x in lines[k][s:s + m]) >= least:
-                gone[k].update(range(lines[k][s][0], lines[k][s + m - 1][0] + 1))
+                gone[k].update(p for p, _ in lines[k][s:s + m])
+    for k in lines:  # lines without a word go between lines that go
+        for (p, _), (after, _) in zip(lines[k], lines[k][1:]):
+            if {p, after} <= gone[k]:
+                gone[k].update(range(p, after))
     return {k: (len((t or "").split("\n")), len(gone[k]), "\n".join(x for p, x in enumerate((t or "").split("\n")) if p not in gone[k])) for k, t in rows}
 
 
