@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import saved, whole
+from tabloom.llm.common import in_batches, saved, whole
 from tabloom.session import broadcast_if_small
 
 #: Weights of the sources in code point order (a missing source comes last), repeated as often as needed.
@@ -39,9 +39,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     before, onward = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
     ranked = listed.withColumn("ratio", F.lit(most) * F.col("source_size") / F.col("weight")).withColumn(
         "level", (F.lit(share) * F.sum("source_size").over(Window.partitionBy()) - F.lit(most) * F.coalesce(F.sum("source_size").over(before), F.lit(0))) / F.sum("weight").over(onward))
-    level = ranked.where("level <= ratio").agg(F.min_by("level", "ratio").alias("found"))
-    return ranked.join(F.broadcast(level)).select(
-        "source", "source_size", F.least(F.lit(most) * F.col("source_size"), F.col("weight") * F.col("found")).alias("target"))
+    within = F.col("level") <= F.col("ratio")
+    found = F.min_by(F.when(within, F.col("level")), F.when(within, F.col("ratio"))).over(Window.partitionBy())
+    return ranked.select("source", "source_size", F.least(F.lit(most) * F.col("source_size"), F.col("weight") * found).alias("target"))
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,7 +75,7 @@ def systematic_copies(rows: DataFrame, units: str, group: str, order: list[Colum
     dealt = rows.withColumn("units", F.col(units)).repartitionByRange(n, *order).sortWithinPartitions(*order)
     dealt = dealt.withColumn("part", F.spark_partition_id()).withColumn("place", F.coalesce(F.xxhash64(group), F.lit(0)) + F.isnull(group).cast("long"))
     schema = dealt.withColumn("sums", F.lit(0).cast("long")).schema
-    held = saved(dealt.mapInArrow(_running, schema), "mix-sums")
+    held = saved(in_batches(dealt, _running, schema), "mix-sums")
     per = held.groupBy("part", group).agg(F.max("sums").alias("sum"))
     prior = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per.select(F.col("part").alias("at"), F.col(group).alias("of"), F.coalesce(F.sum("sum").over(prior), F.lit(0)).alias("offset"))
@@ -85,28 +85,34 @@ def systematic_copies(rows: DataFrame, units: str, group: str, order: list[Colum
     return upto.withColumn("copies", F.expr(f"upto div {UNIT} - (upto - units) div {UNIT}")).drop("part", "place", "sums", "at", "of", "offset", "upto", "units")
 
 
+def _mixture(docs: DataFrame, key: str, text: str, source: str, weights: tuple[int, ...], share: float, most: float, seed: int, keep: list[str]) -> DataFrame:
+    """The mixture with the columns ``keep`` of the documents as _keep_0, _keep_1, ..."""
+    kept = [F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)]
+    sized = docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), word_count(whole(text)).alias("size"), *kept)
+    narrow = sized if keep else (sized := saved(sized, "mix-sizes"))
+    goals = saved(targets(narrow.select("source", "size"), weights, share, most).withColumnRenamed("source", "_source"), "mix-targets")
+    expected = F.when(F.col("source_size") > 0, F.least(F.lit(int(most * UNIT)), F.floor(F.col("target") / F.col("source_size") * UNIT + 0.5))).otherwise(0).cast("long")
+    rows = sized.join(broadcast_if_small(goals), F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("expected", expected)
+    copied = systematic_copies(rows, "expected", "source", [F.asc("size"), F.asc_nulls_last("_key")], seed)
+    return copied.withColumn("taken", F.col("copies") * F.col("size"))
+
+
 def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS,
-            share: float = SHARE, most: float = MOST, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
-    """One row per document: key, size, source, source_size, target, copies, taken, and the columns ``keep``.
+            share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
+    """One row per document: key, source, size, source_size, target, copies, taken.
 
     Size is the number of words between ASCII white space (null text: none). All documents of a
     source expect target / source_size copies. They are taken in order of size, so that the words
     taken stay within about one document of the target; repeated rows are sampled one by one.
     Sources without a word expect no copy. An empty table gives an empty result.
     """
-    keep = keep or []
-    sized = docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), word_count(whole(text)).alias("size"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
-    narrow = sized if keep else (sized := saved(sized, "mix-sizes"))
-    goals = saved(targets(narrow.select("source", "size"), weights, share, most).withColumnRenamed("source", "_source"), "mix-targets")
-    expected = F.when(F.col("source_size") > 0, F.least(F.lit(int(most * UNIT)), F.floor(F.col("target") / F.col("source_size") * UNIT + 0.5))).otherwise(0).cast("long")
-    rows = sized.join(broadcast_if_small(goals), F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("expected", expected)
-    copied = systematic_copies(rows, "expected", "source", [F.asc("size"), F.asc_nulls_last("_key")], seed)
-    return copied.select(F.col("_key").alias(key), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"),
-                         *[F.col(f"_keep_{c}").alias(f"{c}") for c in keep if c not in (key, "source")])
+    return _mixture(docs, key, text, source, weights, share, most, seed, []).select(
+        F.col("_key").alias(key), "source", "size", "source_size", "target", "copies", "taken")
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS,
+          share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
     """The documents of the mix, each repeated as often as it is taken; the columns of ``docs``."""
-    chosen = mixture(docs, key, text, source, keep=[c for c in docs.columns if c not in (key, source)], **options)
-    return chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("copies"), F.lit(1))))).where("copies > 0").select(
-        *[F.col("source").alias(source) if c == source else F.col(c) for c in docs.columns])
+    chosen = _mixture(docs, key, text, source, weights, share, most, seed, docs.columns).where("copies > 0")
+    repeated = chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(docs.columns)])

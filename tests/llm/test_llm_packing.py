@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabloom.llm import packing
@@ -24,7 +25,7 @@ def test_ids_equal_the_tokenizers():
 
 
 def test_documents_come_back(spark, table):
-    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").unionByName(table("documents").select((table("documents")["doc_id"] + 100).alias("doc_id"), "text"))
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").unionByName(table("documents").select((F.col("doc_id") + 100).alias("doc_id"), "text"))
     rows = packing.packed(docs, tokenizer_path()).collect()
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     by_doc, by_bin = defaultdict(list), defaultdict(list)
