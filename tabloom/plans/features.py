@@ -178,5 +178,6 @@ def fit_features(train: DataFrame, cfg: FeatureConfig) -> FeatureModel:
     chain_columns = [c for c in cfg.chained if c in core.columns]
     chained = ChainedImputer(chain_columns).fit(core) if len(chain_columns) >= 2 else None
     model = FeatureModel(cfg, levels, draws, knn, chained, medians, core.count())
-    model.schema = schema_spec(model.transform(train, aligned=False))
+    # Types alone are asked for, so no training row is transformed.
+    model.schema = schema_spec(model.transform(train.limit(0), aligned=False))
     return model
