@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import saved, whole
+from tabloom.llm.common import BATCH_ROWS, in_batches, saved, whole
 from tabloom.session import broadcast_if_small
 
 #: A bucket is partitioned again while it holds more bytes of text than this and more than one hash.
@@ -87,8 +87,8 @@ def _partials(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
                 low = min(range(len(ids)), key=lambda i: _id(ids[i]))
                 ids[0], ids[low] = ids[low], ids[0]
             count = len(held.texts)
-            for at in range(0, count, 2000):
-                part = slice(at, min(at + 2000, count))
+            for at in range(0, count, BATCH_ROWS):
+                part = slice(at, min(at + BATCH_ROWS, count))
                 texts = held.texts[part]
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip([
                     [base + made + i for i in range(len(texts))], held.hashes[part], [len(t) for t in texts],
@@ -218,17 +218,17 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in _first_rows(((None, b) for b in batches), bucket_bytes):
             sizes = pa.array([len(t) for t in found["norm"].to_pylist()], pa.int64())
-            yield from pa.table([found["id"], found["h"], sizes, *(found[c] for c in names)], names=["id", "h", "size", *names]).to_batches(2000)
+            yield from pa.table([found["id"], found["h"], sizes, *(found[c] for c in names)], names=["id", "h", "size", *names]).to_batches(BATCH_ROWS)
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in _first_rows(_runs(batches), None):
-            yield from found.select(names).to_batches(2000)
+            yield from found.select(names).to_batches(BATCH_ROWS)
 
-    bucket, dealt, count = grace_buckets(saved(rows.mapInArrow(first, schema), "dedup-rows"), bucket_bytes)
+    bucket, dealt, count = grace_buckets(saved(in_batches(rows, first, schema), "dedup-rows"), bucket_bytes)
     n = max(count, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sorted_rows = dealt.select(bucket.alias("at"), "id", "h", *names).repartition(n, "at").sortWithinPartitions("at")
     met = sorted_rows.select("at", "id", "h", collapse_space(whole(body)).alias("norm"), F.col(body).alias("body"), *names)
-    return met.mapInArrow(last, rows.select(*names).schema).toDF(*docs.columns)
+    return in_batches(met, last, rows.select(*names).schema).toDF(*docs.columns)
 
 
 def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -246,10 +246,11 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bucke
     """
     norm = docs.select(F.col(key).cast("long").alias("id"), collapse_space(whole(text)).alias("norm"))
     rows = norm.select("id", F.xxhash64("norm").alias("h"), F.sha2("norm", 256).alias("sha"), "norm")
-    parts = saved(rows.mapInArrow(_partials(bucket_bytes), PARTIAL), "dedup-partials")
+    parts = saved(in_batches(rows, _partials(bucket_bytes), PARTIAL), "dedup-partials")
     bucket, dealt, count = grace_buckets(parts, bucket_bytes)
     n = max(count, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    merged = (dealt.select(bucket.alias("at"), "pid", "h", "first", "n", "norm").repartition(n, "at").sortWithinPartitions("at").mapInArrow(_merge, MERGED))
+    met = dealt.select(bucket.alias("at"), "pid", "h", "first", "n", "norm").repartition(n, "at").sortWithinPartitions("at")
+    merged = in_batches(met, _merge, MERGED)
     return (parts.select("pid", "ids", "sha").join(merged, "pid")
             .select(F.posexplode("ids").alias("place", key), "pid", "keep_pid", "keep", "total", "sha")
             .select(key, F.when(F.col("keep") != NO_ID, F.col("keep")).alias("keep_id"), F.col("total").alias("group_size"),

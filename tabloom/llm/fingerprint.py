@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import bit_counts, shingle_hashes, whole
+from tabloom.llm.common import bit_counts, in_batches, shingle_hashes, whole
 
 #: Lanes of 32 bits from a cryptographic hash of the paragraph: equal sums mean equal multisets.
 EQUAL_LANES = 16
@@ -163,6 +163,6 @@ def fingerprints_with_next(docs: DataFrame, key: str = "doc_id", text: str = "te
     bounds = np.array(sorted(set(cuts or [])), dtype=np.int64)
     number = F.size(F.filter(F.lit(bounds.tolist()).cast("array<long>"), lambda b: b < F.col("id")))
     firsts = {r["part"]: r["first"] for r in rows.groupBy(number.alias("part")).agg(F.max("id").alias("first")).collect()}
-    dealt = rows.mapInArrow(_ranges(bounds, firsts), "part int, guest int, id long, text string")
-    return (dealt.repartitionById(n, F.col("part")).sortWithinPartitions("part", "guest", F.desc("id"), "text").mapInArrow(_compare, FINGERPRINTS)
-            .withColumnRenamed("doc_id", key))
+    dealt = in_batches(rows, _ranges(bounds, firsts), "part int, guest int, id long, text string")
+    in_order = dealt.repartitionById(n, F.col("part")).sortWithinPartitions("part", "guest", F.desc("id"), "text")
+    return in_batches(in_order, _compare, FINGERPRINTS).withColumnRenamed("doc_id", key)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import whole
+from tabloom.llm.common import in_batches, whole
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""")
 OPEN = re.compile(r"<(?=[a-zA-Z/!?])")
@@ -221,5 +221,5 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
                                              names=["id", "address", "text", "n_chars"])
 
     schema = "id long, address string, text string, n_chars long"
-    return (pages.select(F.col(key).cast("long").alias("id"), F.col(url).alias("address"), whole(source).alias("source")).mapInArrow(run, schema)
-            .withColumnsRenamed({"id": key, "address": url}))
+    rows = pages.select(F.col(key).cast("long").alias("id"), F.col(url).alias("address"), whole(source).alias("source"))
+    return in_batches(rows, run, schema).withColumnsRenamed({"id": key, "address": url})

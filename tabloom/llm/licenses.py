@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import whole
+from tabloom.llm.common import in_batches, whole
 from tabloom.llm.toxicity import words
 
 # Phrases and labels of the base rules.
@@ -177,8 +177,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
                 hits.append([dict(zip(names, d)) for d in detect(found)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(hits, kind)], names=["id", "n_words", "detections"])
 
-    return (docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text"))
-            .mapInArrow(run, f"id long, n_words long, detections array<{DETECTION}>").withColumnRenamed("id", key))
+    rows = docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text"))
+    return in_batches(rows, run, f"id long, n_words long, detections array<{DETECTION}>").withColumnRenamed("id", key)
 
 
 def _labels(which: Column) -> Column:

@@ -14,14 +14,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import saved, whole
+from tabloom.llm.common import in_batches, saved, whole
 
 TOKENS = 4096
 END_ID = 1
 #: Pieces that are packed together; a group leaves about one sequence part filled.
 GROUP_PIECES = 16_384
 #: Cached words per worker; the cache is emptied when it is full.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -111,7 +111,7 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()])],
                                                  names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), whole(text).alias("text")).mapInArrow(run, PIECES)
+    return in_batches(docs.select(F.col(key).cast("long").alias("doc_id"), whole(text).alias("text")), run, PIECES)
 
 
 def best_fit(lengths: np.ndarray, room: Capacities) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +167,7 @@ def pack(cut: DataFrame, room: Capacities = Capacities(), group_pieces: int = GR
     """
     cut = saved(cut, "pieces")
     groups = max(1, -(-cut.count() // group_pieces))
-    return cut.repartition(groups).mapInArrow(_pack(room), PACKED)
+    return in_batches(cut.repartition(groups), _pack(room), PACKED)
 
 
 def packed(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", room: Capacities = Capacities()) -> DataFrame:

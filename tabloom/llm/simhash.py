@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import bit_counts, saved, shingle_hashes, sorted_groups, whole
+from tabloom.llm.common import bit_counts, gathered, in_batches, saved, shingle_hashes, sorted_groups, whole
 from tabloom.llm.components import connected_components
 from tabloom.session import broadcast_if_small
 
@@ -36,7 +36,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
             fps = [fingerprint(t, size) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, type=pa.int64())], names=["id", "fp"])
 
-    return docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text")).mapInArrow(run, "id long, fp long")
+    return in_batches(docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text")), run, "id long, fp long")
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -117,7 +117,7 @@ def group_roots(fps: np.ndarray, radius: int, chunk: int = 256) -> np.ndarray:
 def _link(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Forest of the links of each group: one edge a row at most from a matrix group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in sorted_groups(batches, "at"):
+        for rows in sorted_groups(gathered(batches), "at"):
             keys = rows["at"].to_numpy()
             ids, fps = rows["id"].to_numpy(), rows["fp"].to_numpy().view(np.uint64)
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -187,7 +187,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     prints = saved(fingerprints(docs, key, text, size), "fingerprints")
     nodes = saved(prints.groupBy("fp").agg(F.min("id").alias("id")).where("id IS NOT NULL"), "nodes")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = banded(nodes, radius).repartition(n, "at").sortWithinPartitions("at").mapInArrow(_link(radius), "a long, b long")
+    links = in_batches(banded(nodes, radius).repartition(n, "at").sortWithinPartitions("at"), _link(radius), "a long, b long")
     found = connected_components(links)
     reached = nodes.join(found, nodes["id"] == found["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     return (prints.join(reached, "fp", "left")

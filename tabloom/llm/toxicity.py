@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabloom.llm.common import saved, whole
+from tabloom.llm.common import in_batches, saved, whole
 
 #: Labelled documents that a classifier is fitted on, at most; the fit is the only bounded part.
 SAMPLE_DOCS = 10_000
@@ -26,7 +26,7 @@ PENALTY = 1.0
 #: Documents of the sample that a feature needs; ALL counts the documents themselves.
 MIN_DOCS, ALL = 5, -1
 FOLDS = 5
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 #: Neutral mentions of groups; a sentence keeps its meaning for the label when one replaces another.
 IDENTITY_TERMS = (
@@ -67,7 +67,7 @@ class Classifier:
     weights: dict[int, float] = field(default_factory=dict)
 
     def score(self, features: set[int]) -> float:
-        total = self.bias + sum(sorted(self.weights[f] for f in features))
+        total = self.bias + sum(sorted(self.weights.get(f, 0.0) for f in features))
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, total))))
 
 
@@ -102,7 +102,7 @@ def telling_features(rows: DataFrame, top: int) -> list[int]:
             part = found[at:at + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([seen[f] for f in part], pa.int64()), pa.array([toxic[f] for f in part], pa.int64())], names=["f", "n", "a"])
 
-    counts = saved(rows.mapInArrow(count, "f long, n long, a long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("a").alias("a")).where(f"n >= {MIN_DOCS} OR f = {ALL}"), "features")
+    counts = saved(in_batches(rows, count, "f long, n long, a long").groupBy("f").agg(F.sum("n").alias("n"), F.sum("a").alias("a")).where(f"n >= {MIN_DOCS} OR f = {ALL}"), "features")
     totals = counts.where(F.col("f") == ALL).first()
     if totals is None:
         return []
@@ -129,7 +129,7 @@ def training_sample(rows: DataFrame, kept: set[int], groups: tuple[tuple[str, ..
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(features, pa.list_(pa.int64())), pa.array(added, pa.list_(pa.list_(pa.int64()))),
                                               pa.array(removed, pa.list_(pa.list_(pa.int64())))], names=["y", "features", "added", "removed"])
 
-    return [tuple(r) for r in rows.mapInArrow(run, "y long, features array<long>, added array<array<long>>, removed array<array<long>>").collect()]
+    return [tuple(r) for r in in_batches(rows, run, "y long, features array<long>, added array<array<long>>, removed array<array<long>>").collect()]
 
 
 class _Rows:
@@ -229,4 +229,4 @@ def scored(docs: DataFrame, model: Classifier, text: str = "text", score: str =
             batch = held.pop()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, type=pa.float64())], names=[*batch.schema.names, score])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return in_batches(docs.select(*kept), run, schema)
