@@ -114,16 +114,35 @@ def knn_impute(read):
     return KnnImputer(KNN_COLS).fit(rows).transform(rows).withColumns({c: F.round(c, 6) for c in KNN_COLS})
 
 
-@query("mice_impute")
-def mice_impute(read):
-    rows = read("lineitem").select(
+def _chain_rows(read):
+    return read("lineitem").select(
         "l_orderkey", "l_linenumber", miss("l_orderkey", "l_quantity").alias("quantity"),
         F.when(F.col("l_partkey") % 5 != 0, F.col("l_extendedprice") / 100 + F.col("l_quantity")).alias("price"),
         F.when(F.col("l_suppkey") % 3 != 0, F.col("l_tax") * 100 + F.col("l_quantity") / 2).alias("tax"),
         F.col("l_discount").alias("discount"))
+
+
+@query("mice_impute")
+def mice_impute(read):
+    rows = _chain_rows(read)
     return ChainedImputer(["quantity", "price", "tax", "discount"]).fit(rows).transform(rows)
 
 
+@query("mice_facts", f"""
+SELECT count(*) AS "rows", CAST(0 AS BIGINT) AS nulls_left, round(sum({miss_sql('l_orderkey', 'l_quantity')}), 2) AS observed_quantity,
+  round(sum(CASE WHEN l_suppkey % 3 <> 0 THEN l_tax * 100 + l_quantity / 2 END), 2) AS observed_tax,
+  count(*) FILTER (l_suppkey % 3 = 0) AS filled_tax, true AS in_reach FROM lineitem""")
+def mice_facts(read):
+    """What any chain of regressions keeps: all rows, all observed values, no gap, and fills near the observed range."""
+    columns = ["quantity", "price", "tax", "discount"]
+    rows = _chain_rows(read).withColumn("gap", F.col("tax").isNull()).withColumn("gap_q", F.col("quantity").isNull())
+    filled = ChainedImputer(columns).fit(rows).transform(rows)
+    nulls = sum((F.col(c).isNull().cast("bigint") for c in columns[1:]), F.col("quantity").isNull().cast("bigint"))
+    return filled.agg(F.count("*").alias("rows"), F.sum(nulls).alias("nulls_left"), F.round(F.sum(F.when(~F.col("gap_q"), F.col("quantity"))), 2).alias("observed_quantity"),
+                      F.round(F.sum(F.when(~F.col("gap"), F.col("tax"))), 2).alias("observed_tax"), F.count_if("gap").alias("filled_tax"),
+                      F.coalesce(F.bool_and(F.when(F.col("gap"), F.col("tax").between(-30, 70))), F.lit(True)).alias("in_reach"))
+
+
 @query("median_ordinal_onehot", f"""
 SELECT o_orderkey, round(coalesce({miss_sql('o_orderkey', 'o_totalprice')},
   (SELECT median({miss_sql('o_orderkey', 'o_totalprice')}) FROM orders)), 4) AS num_imp__price,
