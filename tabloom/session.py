@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# A side is broadcast only after its row count was checked against this bound.
+# A side is broadcast only after its rows and bytes were checked against these bounds.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def build_session(app: str = "tabloom", cores: int | str = "*", shuffle_partitions: int = 8,
@@ -61,9 +62,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than that many."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes; reads no more rows than that."""
+    size = F.lit(0)
+    for i, field in enumerate(df.schema):
+        column = F.col(f"c{i}")
+        wide = isinstance(field.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))
+        size = size + (F.coalesce(F.octet_length(column.cast("string")), F.lit(0)) if wide else F.lit(16))
+    found = df.toDF(*[f"c{i}" for i in range(len(df.columns))]).limit(max_rows + 1).agg(F.count("*"), F.sum(size)).first()
+    return found[0] <= max_rows and (found[1] or 0) <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
