@@ -17,7 +17,7 @@ from tabloom.llm.toxicity import words
 # Phrases and labels of the base rules.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: License names: label, keyword that must occur, pattern of the name on words joined by spaces.
+#: License names: label, keyword that every text the pattern accepts holds, pattern of the name on words joined by spaces.
 NAMES = (
     ("mit", "mit", r"mit"),
     ("apache-2.0", "apache", r"apache(?: software)? licen[cs]e(?: version)? 2(?: 0)?"),
@@ -45,14 +45,14 @@ NAMES = (
     ("artistic-2.0", "artistic", r"artistic licen[cs]e(?: version)? 2(?: 0)?"),
     ("artistic-1.0", "artistic", r"artistic licen[cs]e"),
     ("cc0-1.0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("cc-by-nc-nd", "cc", r"(?:cc|creative commons) by nc nd(?: \d(?: \d)?)?"),
-    ("cc-by-nc-sa", "cc", r"(?:cc|creative commons) by nc sa(?: \d(?: \d)?)?"),
-    ("cc-by-nc", "cc", r"(?:cc|creative commons) by nc(?: \d(?: \d)?)?"),
-    ("cc-by-nd", "cc", r"(?:cc|creative commons) by nd(?: \d(?: \d)?)?"),
-    ("cc-by-sa", "cc", r"(?:cc|creative commons) by sa(?: \d(?: \d)?)?"),
-    ("cc-by", "cc", r"(?:cc|creative commons) by(?: \d(?: \d)?)?"),
-    ("cc-by-nc", "noncommercial", r"creative commons attribution non ?commercial(?: \d \d)?(?: international)?"),
-    ("cc-by-sa", "sharealike", r"creative commons attribution share ?alike(?: \d \d)?(?: international)?"),
+    ("cc-by-nc-nd", " by nc nd", r"(?:cc|creative commons) by nc nd(?: \d(?: \d)?)?"),
+    ("cc-by-nc-sa", " by nc sa", r"(?:cc|creative commons) by nc sa(?: \d(?: \d)?)?"),
+    ("cc-by-nc", " by nc", r"(?:cc|creative commons) by nc(?: \d(?: \d)?)?"),
+    ("cc-by-nd", " by nd", r"(?:cc|creative commons) by nd(?: \d(?: \d)?)?"),
+    ("cc-by-sa", " by sa", r"(?:cc|creative commons) by sa(?: \d(?: \d)?)?"),
+    ("cc-by", " by", r"(?:cc|creative commons) by(?: \d(?: \d)?)?"),
+    ("cc-by-nc", "commercial", r"creative commons attribution non ?commercial(?: \d \d)?(?: international)?"),
+    ("cc-by-sa", "alike", r"creative commons attribution share ?alike(?: \d \d)?(?: international)?"),
     ("cc-by", "attribution", r"creative commons attribution(?: \d \d)?(?: international)?"),
     ("psf", "python", r"python software foundation licen[cs]e"),
     ("ofl-1.1", "font", r"sil open font licen[cs]e(?:(?: version)? 1 1)?"),

@@ -1,4 +1,8 @@
+import random
 import re
+from dataclasses import replace
+
+import pytest
 
 from tabloom.llm import licenses
 
@@ -43,3 +47,54 @@ def test_contained_matches_are_suppressed():
     kept = [d[0] for d in found if d[5]]
     assert kept == ["lgpl-2.1"] and {"gpl", "lgpl"} <= {d[0] for d in found}
     assert len(licenses.rules()) > 300 and sorted(licenses.rules(), key=lambda r: -r.strength) == list(licenses.rules())
+
+
+def accepted(parsed, rnd):
+    """A random text that the parsed pattern accepts."""
+    out = ""
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "IN":
+            kind, value = rnd.choice(arg)
+            out += "7" if str(kind) == "CATEGORY" else chr(rnd.randint(*value) if str(kind) == "RANGE" else value)
+        elif name == "MAX_REPEAT":
+            out += "".join(accepted(arg[2], rnd) for _ in range(rnd.randint(arg[0], min(arg[1], 2))))
+        elif name == "SUBPATTERN":
+            out += accepted(arg[3], rnd)
+        elif name == "BRANCH":
+            out += accepted(rnd.choice(arg[1]), rnd)
+        else:
+            assert name == "ASSERT_NOT"
+    return out
+
+
+@pytest.fixture
+def unfiltered(monkeypatch):
+    every = tuple(replace(r, keywords=()) for r in licenses.rules())
+
+    def detect(text):
+        with monkeypatch.context() as m:
+            m.setattr(licenses, "rules", lambda: every)
+            m.setattr(licenses, "_gates", lambda: (b"",))
+            return licenses.detect(text.encode().split())
+    return detect
+
+
+def test_prefilter_hides_nothing(unfiltered):
+    rnd = random.Random(4)
+    plain = lambda found: [d[:5] for d in found]
+    texts = [accepted(re._parser.parse(r.pattern.pattern), rnd) for r in licenses.rules() for _ in range(6)]
+    texts += ["licensed under creative commons attribution non commercial 4 0", "licensed under creative commons attribution share alike 4 0", "creative commons by nc sa 4 0"]
+    for text in texts:
+        found = licenses.detect(text.encode().split())
+        assert found and plain(found) == plain(unfiltered(text)), text
+
+
+def test_spaced_creative_commons_names(spark):
+    texts = ["Licensed under Creative Commons Attribution Non-Commercial 4.0", "Released under Creative Commons Attribution-ShareAlike 4.0 International",
+             "Licensed under Creative Commons Attribution Share-Alike 4.0",
+             "Creative Commons BY-NC-SA 4.0", "Creative Commons BY-NC"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["labels"] for r in licenses.summary(licenses.scan(docs)).orderBy("doc_id").collect()] == ["cc-by-nc", "cc-by-sa", "cc-by-sa", "cc-by-nc-sa", "cc-by-nc"]
