@@ -14,7 +14,7 @@ from tabloom.llm.common import bit_counts, in_batches, shingle_hashes, whole
 
 #: Lanes of 32 bits from a cryptographic hash of the paragraph: equal sums mean equal multisets.
 EQUAL_LANES = 16
-#: Lanes of 16 bits to which every word run of the paragraph adds +1 or -1: near sums mean near multisets.
+#: Lanes of 32 bits to which every word run of the paragraph adds +1 or -1: near sums mean near multisets.
 NEAR_LANES = 128
 RUN_WORDS = 3
 LOWEST = -(1 << 63)
@@ -23,7 +23,7 @@ FINGERPRINTS = "doc_id long, n_chars long, edited_sha256 string, fingerprint str
 
 
 class MultisetHash:
-    """Sum of the paragraphs' vectors; lanes are taken modulo 2^32 and 2^16.
+    """Sum of the paragraphs' vectors; lanes are taken modulo 2^32.
 
     Sums do not depend on the order, and paragraphs are inserted or deleted by adding or
     subtracting the hash of those paragraphs alone.
@@ -40,7 +40,7 @@ class MultisetHash:
         equal = np.frombuffer(digests, dtype="<u4").reshape(-1, EQUAL_LANES).sum(axis=0, dtype=np.uint32)
         runs = np.concatenate([shingle_hashes(p, RUN_WORDS) for p in paragraphs]) if paragraphs else np.zeros(0, dtype=np.uint64)
         counts = np.concatenate([bit_counts(runs), bit_counts(_mixed(runs))])
-        return cls(equal, (2 * counts - len(runs)).astype(np.uint16))
+        return cls(equal, (2 * counts - len(runs)).astype(np.uint32))
 
     def __add__(self, other: MultisetHash) -> MultisetHash:
         return MultisetHash(self.equal + other.equal, self.near + other.near)
@@ -54,12 +54,12 @@ class MultisetHash:
     __hash__ = None
 
     def hex(self) -> str:
-        return (self.equal.astype("<u4").tobytes() + self.near.astype("<u2").tobytes()).hex()
+        return (self.equal.astype("<u4").tobytes() + self.near.astype("<u4").tobytes()).hex()
 
     @classmethod
     def from_hex(cls, text: str) -> MultisetHash:
         raw = bytes.fromhex(text)
-        return cls(np.frombuffer(raw[:4 * EQUAL_LANES], dtype="<u4").copy(), np.frombuffer(raw[4 * EQUAL_LANES:], dtype="<u2").copy())
+        return cls(np.frombuffer(raw[:4 * EQUAL_LANES], dtype="<u4").copy(), np.frombuffer(raw[4 * EQUAL_LANES:], dtype="<u4").copy())
 
     def likeness(self, other: MultisetHash) -> float:
         """Estimated share of word runs in common, 0 to 1; equal fingerprints give 1.
@@ -69,7 +69,7 @@ class MultisetHash:
         """
         if self == other:
             return 1.0
-        a, b, d = ((v.view(np.int16).astype(np.float64) ** 2).sum() for v in (self.near, other.near, self.near - other.near))
+        a, b, d = ((v.view(np.int32).astype(np.float64) ** 2).sum() for v in (self.near, other.near, self.near - other.near))
         return float(min(1.0, max(0.0, 1.0 - d / (a + b)))) if a + b else 0.0
 
 

@@ -30,6 +30,14 @@ def test_likeness_follows_common_words():
     assert text_hash("").likeness(text_hash("x y z")) < 0.5
 
 
+@pytest.mark.parametrize("n", [30_000, 65_536, 100_000])
+def test_likeness_of_long_repetitive_texts(n):
+    text = "again " * n
+    edited = text[:2 * len(text) // 3]
+    a, b = n - 2, len(edited.split()) - 2  # copies of the one word run
+    assert text_hash(text).likeness(text_hash(edited)) == pytest.approx(2 * a * b / (a * a + b * b), abs=1e-3)
+
+
 def brute(rows):
     order = sorted(rows, key=lambda r: r[0], reverse=True)
     out = {}
