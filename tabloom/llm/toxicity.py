@@ -80,11 +80,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
     """(y, text) of at most ``size`` labelled documents outside the held-out fold.
 
     The sample is the labelled keys with the lowest hashes, so it does not depend on the order of
-    rows. A key with several labels has the largest.
+    rows. A key with several labels has the largest, one with several texts the smallest.
     """
     known = labels.select(F.col(key).cast("long").alias("id"), F.col(label).cast("double").alias("y")).where("y IS NOT NULL AND id IS NOT NULL").where(~held_out("id"))
     chosen = known.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(size)
-    return docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text")).join(F.broadcast(chosen), "id").select((F.col("y") > 0).cast("long").alias("y"), "text")
+    return docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text")).join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("text").alias("text")).select((F.col("y") > 0).cast("long").alias("y"), "text")
 
 
 def telling_features(rows: DataFrame, top: int) -> list[int]:

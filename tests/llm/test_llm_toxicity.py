@@ -56,3 +56,12 @@ def test_without_labels(spark):
 def test_swaps_replace_one_term():
     assert (b"women", b"men") in toxicity.swaps({b"women", b"x"}, toxicity.IDENTITY_TERMS)
     assert not toxicity.swaps({b"x"}, toxicity.IDENTITY_TERMS)
+
+
+def test_a_repeated_key_gives_one_training_row(spark):
+    docs = spark.createDataFrame([(1, f"text {i:03d}") for i in range(200)] + [(k, None if k == 4 else f"own {k}") for k in range(2, 40)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 40)], "doc_id long, toxic int")
+    rows = [tuple(r) for r in toxicity.training_rows(docs, labels, "doc_id", "text", "toxic", 1000).collect()]
+    known = {r["doc_id"] for r in labels.where(~toxicity.held_out("doc_id")).collect()}
+    want = [(k % 2, "text 000" if k == 1 else "" if k == 4 else f"own {k}") for k in known]
+    assert 1 in known and sorted(rows) == sorted(want)
