@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tabloom.session import scratch_path
 
-BATCH_ROWS = 1000
+#: Bytes and rows of an Arrow batch that goes to Python; a batch exists twice on either side.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 10_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,8 +29,13 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def in_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """``df.mapInArrow`` with batches of BATCH_ROWS rows: rows hold whole texts, and a batch exists twice on either side."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """``df.mapInArrow`` with batches of about BATCH_BYTES at most, as rows hold whole texts (one longer text is a batch of its own).
+
+    Spark has the two bounds as settings of the session only; neither changes any result.
+    """
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
 

@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache, lru_cache
+from struct import pack as pack_ids
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +21,8 @@ TOKENS = 4096
 END_ID = 1
 #: Pieces that are packed together; a group leaves about one sequence part filled.
 GROUP_PIECES = 16_384
-#: Cached words per worker; the cache is emptied when it is full.
-CACHE_WORDS = 400_000
+#: Bytes of ids after which a worker sorts out what it keeps, and the length of the longest word that is kept then.
+MEMO_BYTES, MEMO_WORD = 32 << 20, 64
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECES + ", sequence_id long, offset long"
@@ -43,12 +44,17 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-#: Latin letters whose normal form and lower case are single letters, then ASCII marks but the apostrophe.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e]*)([!-&(-/:-@\\[-`{-~]*)")
+# The tokenizer's own cut of a text into words, for ASCII and for Latin letters whose normal form and lower case are single letters.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u0148\u014a-\u017e"
+WORDS = rf"'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|[{LETTERS}]+|[0-9]|[!-/:-@\[-`{{-~]+"
+PLAIN = re.compile(rf"[{LETTERS}!-@\[-`{{-~ \t\n\r]*")
+PLAIN_WORDS = re.compile(WORDS)
+#: The same in any text: a chunk between spaces that holds another character, or a "<" (special tokens), is one word.
+MIXED_WORDS = re.compile(rf"(?<![^ \t\n\r])[{LETTERS}!-;=-@\[-`{{-~]*[^{LETTERS}!-;=-@\[-`{{-~ \t\n\r][^ \t\n\r]*|{WORDS}")
 
 
 @cache
-def _byte_marks() -> list[str]:
+def byte_marks() -> list[str]:
     """The character that byte-level vocabularies use for each byte: itself if printable, else one from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     spare = iter(range(256, 512))
@@ -58,39 +64,48 @@ def _byte_marks() -> list[str]:
 class WordEncoder:
     """Token ids of a text as little-endian 32-bit words.
 
-    The tokenizer never joins characters across a space, tab or line feed, so the ids of a text
-    are those of its chunks in a row, and a chunk seen before is not encoded again. A chunk of
-    plain letters and marks goes to the tokenizer's model, as its letters and its marks are the
-    two words that the tokenizer would cut it into; any other chunk goes through the tokenizer.
+    The tokenizer merges inside words only, and it never joins characters across a space, tab or
+    line end. So the ids of a text are those of its words in a row. Words met before are not
+    encoded again; what is kept is dropped once it was not used while MEMO_BYTES of others came.
     """
 
     def __init__(self, path: str) -> None:
-        self.tokenizer, self.known = _tokenizer(path), {}
-        self.words, self.tokenize = {"": b""}, self.tokenizer.model.tokenize
-
-    def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            shown = word if word.isascii() else "".join(map(_byte_marks().__getitem__, word.encode()))
-            ids = self.words[word] = np.array([t.id for t in self.tokenize(shown)], dtype="<u4").tobytes()
-        return ids
+        self.tokenizer = _tokenizer(path)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words: plain ones by the tokenizer's model, chunks with other characters by the tokenizer."""
+        out, other, tokenize, marks = {}, [], self.tokenizer.model.tokenize, byte_marks().__getitem__
+        for word in words:
+            if PLAIN_WORDS.fullmatch(word):
+                small = word.lower()
+                ids = [t.id for t in tokenize(small if small.isascii() else "".join(map(marks, small.encode())))]
+                out[word] = pack_ids(f"<{len(ids)}I", *ids)
+            else:
+                other.append(word)
+        for word, coded in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            out[word] = np.array(coded.ids, dtype="<u4").tobytes()
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-            self.words = {"": b""}
-        other = []
-        for chunk in set().union(*chunks) - self.known.keys():
-            plain = PLAIN.fullmatch(chunk)
-            if plain:
-                self.known[chunk] = self._word(plain[1].lower()) + self._word(plain[2])
-            else:
-                other.append(chunk)
-        for chunk, coded in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            self.known[chunk] = np.array(coded.ids, dtype="<u4").tobytes()
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+        cut = [(PLAIN_WORDS if "<|" not in t and PLAIN.fullmatch(t) else MIXED_WORDS).findall(t) for t in texts]
+        missing = set().union(*cut) - self.known.keys()
+        found = {w: self.older[w] for w in missing & self.older.keys()}
+        found |= self._learn([*(missing - found.keys())])
+        self.held += sum(200 + len(d) for d in found.values())
+        self.known |= found
+        out = [b"".join(map(self.known.__getitem__, words)) for words in cut]
+        if self.held > MEMO_BYTES:
+            self.known, self.older, self.held = {}, {w: d for w, d in self.known.items() if len(w) <= MEMO_WORD}, 0
+        return out
+
+
+@lru_cache(maxsize=4)
+def coder(path: str) -> WordEncoder:
+    """One encoder per worker, so that its tasks share what is known."""
+    return WordEncoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", limit: int = TOKENS, end_id: int = END_ID) -> DataFrame:
@@ -98,15 +113,14 @@ def pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordEncoder(tokenizer)
+        encode = coder(tokenizer).encode
         for batch in batches:
             keys, texts, rows = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
-            for at in range(0, len(texts), 500):
-                for k, ids in zip(keys[at:at + 500], coder.encode(texts[at:at + 500])):
-                    ids += end
-                    for number, first in enumerate(range(0, len(ids), 4 * limit)):
-                        part = ids[first:first + 4 * limit]
-                        rows.append((k, number, first // 4, len(part) // 4, zlib.crc32(part)))
+            for k, ids in zip(keys, encode(texts)):
+                ids += end
+                for number, first in enumerate(range(0, len(ids), 4 * limit)):
+                    part = ids[first:first + 4 * limit]
+                    rows.append((k, number, first // 4, len(part) // 4, zlib.crc32(part)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(zip(*rows), [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()])],
                                                  names=["doc_id", "piece", "start", "length", "ids_crc32"])

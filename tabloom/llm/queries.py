@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from tabloom.llm import exact_dedup, fingerprint, html_text, licenses, line_dedup, mixing, packing, simhash, toxicity, urls
+from tabloom.llm import alignment, binary_packing, bisectors, exact_dedup, fingerprint, html_text, licenses, line_dedup, mixing, packing, simhash, toxicity, urls
 from tabloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,10 +32,28 @@ def query(name: str, source: str, sql: str | None = None):
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
-def tokenizer_path() -> str:
-    """The public tokenizer that the packing query names."""
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer: the one that the packing queries name, or another."""
     import public_tokenizers
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
+
+
+def clusters_sql(rounds: int = bisectors.ROUNDS, count: int = bisectors.CENTROIDS) -> str:
+    """The rounds of the clustering one after another. Numbers are whole doubles below 2^53, so sums and products are exact."""
+    score = "arg_min(c.c, (list_inner_product(c.x, c.x) - 2 * list_inner_product(v.x, c.x)) * 64 + c.c)"
+    parts = [f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, sha256('2:' || coalesce(vec_id::VARCHAR, '')) AS h, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+        c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM kept QUALIFY row_number() OVER (ORDER BY h, x) <= {count})"""]
+    for i in range(rounds):
+        parts.append(f"""c{i + 1} AS MATERIALIZED (WITH near AS (SELECT v.rid, {score} AS c FROM kept v, c{i} c GROUP BY v.rid),
+            parts AS (SELECT c, unnest(x)::BIGINT AS value, generate_subscripts(x, 1) AS i FROM near JOIN kept USING (rid)),
+            means AS (SELECT c, list(mean ORDER BY i) AS x FROM (SELECT c, i, ((sum(value) - ((sum(value) % count(*)) + count(*)) % count(*)) // count(*))::DOUBLE AS mean FROM parts GROUP BY c, i) GROUP BY c)
+            SELECT c, coalesce(m.x, o.x) AS x FROM c{i} o LEFT JOIN means m USING (c))""")
+    return f"""WITH {", ".join(parts)},
+        last AS (SELECT v.rid, {score} AS c FROM kept v, c{rounds} c GROUP BY v.rid),
+        told AS (SELECT vec_id, c::INTEGER AS cluster, (list_inner_product(v.x, v.x) - 2 * list_inner_product(v.x, e.x) + list_inner_product(e.x, e.x))::BIGINT AS distance,
+            sha256(array_to_string(list_transform(e.x, lambda y: y::BIGINT), ',')) AS centroid_sha256 FROM last JOIN kept v USING (rid) JOIN c{rounds} e USING (c))
+        SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256 FROM told"""
 
 
 @query("op1_line_dedup", "documents", r"""
@@ -130,3 +148,21 @@ def op9(docs: DataFrame) -> DataFrame:
 def op10(docs: DataFrame) -> DataFrame:
     """The row that stays for every document."""
     return exact_dedup.exact_groups(docs)
+
+
+@query("op11_binary_packing", "documents")
+def op11(docs: DataFrame) -> DataFrame:
+    """Pieces of every document, each as long as a power of two."""
+    return binary_packing.packed(docs, tokenizer_path(), ids=False)
+
+
+@query("op12_centroid_clustering", "embeddings", clusters_sql())
+def op12(vectors: DataFrame) -> DataFrame:
+    """Cluster of every vector."""
+    return bisectors.clusters(vectors)
+
+
+@query("op13_tokenizer_alignment", "documents")
+def op13(docs: DataFrame) -> DataFrame:
+    """Alignment of two tokenizers over every document."""
+    return alignment.alignments(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), digest=True).withColumnRenamed("groups", "groups_sha256")
