@@ -39,6 +39,14 @@ def in_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(fn, schema)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def gathered(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
     """Batches of narrow rows joined to about ``rows`` rows."""
     held: list[pa.RecordBatch] = []

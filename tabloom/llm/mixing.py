@@ -85,15 +85,12 @@ def systematic_copies(rows: DataFrame, units: str, group: str, order: list[Colum
     return upto.withColumn("copies", F.expr(f"upto div {UNIT} - (upto - units) div {UNIT}")).drop("part", "place", "sums", "at", "of", "offset", "upto", "units")
 
 
-def _mixture(docs: DataFrame, key: str, text: str, source: str, weights: tuple[int, ...], share: float, most: float, seed: int, keep: list[str]) -> DataFrame:
-    """The mixture with the columns ``keep`` of the documents as _keep_0, _keep_1, ..."""
-    kept = [F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)]
-    sized = docs.select(F.col(key).alias("_key"), F.col(source).alias("source"), word_count(whole(text)).alias("size"), *kept)
-    narrow = sized if keep else (sized := saved(sized, "mix-sizes"))
-    goals = saved(targets(narrow.select("source", "size"), weights, share, most).withColumnRenamed("source", "_source"), "mix-targets")
+def _mixture(sized: DataFrame, weights: tuple[int, ...], share: float, most: float, seed: int) -> DataFrame:
+    """``sized`` (key, source, size and more narrow columns), which is saved, with source_size, target, copies and taken."""
+    goals = saved(targets(sized.select("source", "size"), weights, share, most).withColumnRenamed("source", "_source"), "mix-targets")
     expected = F.when(F.col("source_size") > 0, F.least(F.lit(int(most * UNIT)), F.floor(F.col("target") / F.col("source_size") * UNIT + 0.5))).otherwise(0).cast("long")
     rows = sized.join(broadcast_if_small(goals), F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn("expected", expected)
-    copied = systematic_copies(rows, "expected", "source", [F.asc("size"), F.asc_nulls_last("_key")], seed)
+    copied = systematic_copies(rows, "expected", "source", [F.asc("size"), F.asc_nulls_last("key")], seed)
     return copied.withColumn("taken", F.col("copies") * F.col("size"))
 
 
@@ -106,13 +103,20 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     taken stay within about one document of the target; repeated rows are sampled one by one.
     Sources without a word expect no copy. An empty table gives an empty result.
     """
-    return _mixture(docs, key, text, source, weights, share, most, seed, []).select(
-        F.col("_key").alias(key), "source", "size", "source_size", "target", "copies", "taken")
+    sized = saved(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), word_count(whole(text)).alias("size")), "mix-sizes")
+    return _mixture(sized, weights, share, most, seed).select(F.col("key").alias(key), "source", "size", "source_size", "target", "copies", "taken")
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS,
           share: float = SHARE, most: float = MOST, seed: int = SEED) -> DataFrame:
-    """The documents of the mix, each repeated as often as it is taken; the columns of ``docs``."""
-    chosen = _mixture(docs, key, text, source, weights, share, most, seed, docs.columns).where("copies > 0")
-    repeated = chosen.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(docs.columns)])
+    """The documents of the mix, each repeated as often as it is taken; the columns of ``docs``.
+
+    The documents are written once with a row number. Only that number, key, source and size are
+    sorted and sampled; the copies of a row meet its text again in one join. Nulls, repeated rows
+    and an empty table are handled as in ``mixture``.
+    """
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    held = saved(docs.toDF(*names.values()).withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    sized = saved(held.select(F.col(names[key]).alias("key"), F.col(names[source]).alias("source"), word_count(whole(names[text])).alias("size"), "row"), "mix-sizes")
+    chosen = _mixture(sized, weights, share, most, seed).where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return held.join(chosen, "row").select(*[F.col(n).alias(c) for c, n in names.items()])

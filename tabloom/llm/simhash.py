@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabloom.llm.common import bit_counts, gathered, in_batches, saved, shingle_hashes, sorted_groups, whole
@@ -29,14 +29,15 @@ def fingerprint(text: str, size: int) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp) of every document; the text is read once and not shuffled."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, digest: bool = False) -> DataFrame:
+    """(id, fp) of every document, with ``digest`` also the text's MD5 as ``h``; the text is read once and not shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = [fingerprint(t, size) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, type=pa.int64())], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, type=pa.int64()), *batch.columns[2:]], names=["id", "fp", "h"][:2 + digest])
 
-    return in_batches(docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text")), run, "id long, fp long")
+    rows = docs.select(F.col(key).cast("long").alias("id"), whole(text).alias("text"), *[F.md5(whole(text)).alias("h")] * digest)
+    return in_batches(rows, run, "id long, fp long" + ", h string" * digest)
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -174,6 +175,12 @@ def banded(fps: DataFrame, radius: int) -> DataFrame:
             .unionByName(second.join(large, "at", "left_anti")).unionByName(blocks))
 
 
+def _linked(nodes: DataFrame, radius: int) -> DataFrame:
+    """(node, component) of the ``nodes`` (id, fp) that are linked to one with a smaller id."""
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return connected_components(in_batches(banded(nodes, radius).repartition(n, "at").sortWithinPartitions("at"), _link(radius), "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
     """One row per document: ``key``, fingerprint (16 hex digits), component_id.
 
@@ -186,22 +193,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     """
     prints = saved(fingerprints(docs, key, text, size), "fingerprints")
     nodes = saved(prints.groupBy("fp").agg(F.min("id").alias("id")).where("id IS NOT NULL"), "nodes")
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    links = in_batches(banded(nodes, radius).repartition(n, "at").sortWithinPartitions("at"), _link(radius), "a long, b long")
-    found = connected_components(links)
+    found = _linked(nodes, radius)
     reached = nodes.join(found, nodes["id"] == found["node"], "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     return (prints.join(reached, "fp", "left")
             .select(F.col("id").alias(key), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest key.
+    """``docs`` with one document of each component: the one with the smallest key (a missing key comes last).
 
-    If several rows have that key, the smallest text stays. Rows without a key cannot be told
-    apart; they stay. Only keys move to the documents, in one join.
+    Components are those of the fingerprints themselves, so documents of one key and unlike texts
+    are told apart, and a document without a key goes like any other. If several texts of a component
+    have the smallest key, the one with the smallest MD5 stays, and one of its repeated rows. Null
+    counts as the empty text; an empty table gives an empty result. Only keys and digests move to
+    the documents, in one join.
     """
-    found = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, size, radius)
-    stay = saved(found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_stay")).distinct(), "stay")
-    chosen = docs.join(stay, docs[key] == stay["_stay"], "left_semi")
-    order = Window.partitionBy(key).orderBy(F.asc_nulls_first(text))
-    return chosen.withColumn("_place", F.row_number().over(order)).where("_place = 1").drop("_place").unionByName(docs.where(F.col(key).isNull()))
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.toDF(*names.values())
+    prints = saved(fingerprints(rows, names[key], names[text], size, digest=True).groupBy("fp", "id", "h").agg(F.count("*").alias("n")), "fingerprints")
+    nodes = prints.select("fp").distinct().select(F.col("fp").alias("id"), "fp")
+    found = _linked(nodes, radius)
+    grouped = prints.join(found, prints["fp"] == found["node"], "left").select(F.coalesce("component", "fp").alias("component"), "id", "h", "n")
+    first = F.min(F.struct(F.isnull("id").alias("none"), "id", "h", "n")).alias("first")
+    stay = saved(grouped.groupBy("component").agg(first).select("first.id", "first.h", "first.n"), "stay")
+    chosen = rows.join(stay, F.col(names[key]).cast("long").eqNullSafe(F.col("id")) & (F.md5(whole(names[text])) == F.col("h")))
+    single = chosen.where("n = 1").select(*names.values())
+    if not stay.where("n > 1").isEmpty():
+        row = F.struct(*names.values())
+        repeated = chosen.where("n > 1").groupBy("id", "h").agg(F.min_by(row, F.to_json(row)).alias("row"))
+        single = single.unionByName(repeated.select("row.*"))
+    return single.toDF(*names)

@@ -10,7 +10,7 @@ LONG = "word " * 60
 DOCS = [(1, "a b c d", "en", "s", 7), (1, "a b c d", "en", "s", 7), (2, None, None, None, None), (None, "a b c d", "en", None, 1), (None, None, None, None, None),
         (3, "", "en", "s", 0), (4, " \n\t ", "de", "t", 4), (5, LONG * 3000, "en", "t", 9), (6, LONG + "\n" + LONG, "en", "s", 3), (6, "other", "en", "s", 3), (0, "é é \U0001f600 x", "fr", "u", 2)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASH = ["id", "h", "fp", "part", "sums", "norm", "size", "y", "score", "label", "keep", "at", "level", "rank", "spans", "copies", "_copy", "units"]
+CLASH = ["id", "h", "fp", "part", "sums", "norm", "size", "y", "score", "label", "keep", "at", "level", "rank", "spans", "copies", "_copy", "units", "_score", "_place", "row", "c0", "c1", "fp_", "key", "n", "component"]
 
 PER_DOCUMENT = {
     "line": line_dedup.deduplicated,
@@ -67,3 +67,27 @@ def test_pages(spark, operator):
     assert operator(pages.limit(0)).count() == 0
     wide = pages.withColumns({c: F.lit("x") for c in ("id", "address", "text", "host", "path", "score", "rule", "source")})
     assert sorted(map(str, operator(wide).collect())) == sorted(map(str, operator(pages).collect()))
+
+
+@pytest.mark.parametrize("columns", [[], CLASH])
+def test_pipeline_stages(spark, tmp_path, docs, columns):
+    """Every stage takes nulls, repeated rows, columns of its own names and an empty table."""
+    import corpus_pipeline
+    labels = spark.createDataFrame([(1, 0), (3, 1), (5, 0), (6, 0), (None, 1)], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    wide = docs.withColumns({c: F.lit("x") for c in columns})
+    for given in (wide, wide.limit(0)):
+        now = given
+        for name, stage in corpus_pipeline.STAGES:
+            now = stage(spark, now, str(tmp_path))
+            rows = now.collect()
+            if name != "best_fit_packing":
+                assert now.columns == given.columns and all(r[c] == "x" for r in rows for c in columns), name
+                now = spark.createDataFrame(rows, given.schema)
+        assert bool(rows) == (given is wide)
+
+
+def test_unlike_documents_of_one_key_stay(spark):
+    rows = [(1, "alpha beta gamma delta"), (1, "one two three four five"), (2, "six seven eight nine"), (None, "alpha beta gamma delta"), (2, "six seven eight nine"), (None, None)]
+    got = simhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(map(str, (tuple(r) for r in got.collect()))) == sorted(map(str, [rows[0], rows[1], rows[2], rows[5]]))
