@@ -7,25 +7,30 @@ read again as the next stage's documents. All but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabloom.llm import exact_dedup, mixing, packing, simhash, toxicity
-from tabloom.llm.common import saved, table
+from tabloom.llm.common import saved, table, unused
 from tabloom.llm.queries import tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on the labelled ones, scores below one half."""
+    """Documents that the classifier, fitted on the labelled ones, scores below one half.
+
+    A null text counts as empty; repeated rows have one score; without labelled rows all stay.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, model, score="_score").where("_score < 0.5").select(*docs.columns)
+    score = unused(docs, "score")
+    return toxicity.scored(docs, model, score=score).where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text that is equal up to white space."""
+    """One document of each text that is equal up to white space: the smallest key's; null counts as empty."""
     return exact_dedup.deduplicated(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-equal fingerprints."""
+    """One document of each group of near-equal fingerprints: the smallest key's; documents without words are one group."""
     return simhash.deduplicated(docs)
 
 
@@ -35,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place of every token piece in the training sequences."""
+    """Place of every token piece in the training sequences; an empty text is its end id alone."""
     return packing.packed(docs, tokenizer_path())
 
 
