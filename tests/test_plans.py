@@ -154,10 +154,10 @@ def test_tuning_and_refit(vectors):
     train, valid, test = (df.filter(F.col("k") % 3 == i) for i in range(3))
     grid = {"XGBRegressor": {"n_estimators": [2, 6], "max_depth": [2]}}
     results = TU.two_stage(train, valid, ["k"], grid, draws=2, refine=lambda _n, best: {k: [v] for k, v in best.items()})
-    name, params, _ = TU.best_model(results)
+    name, params = TU.best_model(results)
     assert name == "XGBRegressor" and params == {"n_estimators": 6, "max_depth": 2}
     model, scores = TU.refit_best(results, train, valid, test)
-    assert {r["part"] for r in scores.collect()} == {"train_valid", "test"} and model.getNumTrees == 6
+    assert {r["part"] for r in scores.collect()} == {"train_valid", "test"} and len(model.trees) == 6
     with pytest.raises(ValueError):
         TU.best_model(results.drop("VALID_RMSE"))
 
