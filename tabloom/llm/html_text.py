@@ -34,19 +34,31 @@ NOT_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor s
                       "sharing related recommended widget pagination".split())
 
 
-def _unwanted(tag: str, attributes: str) -> bool:
-    if tag in NOT_TEXT:
-        return True
-    for name, a, b, c in NAMED.findall(attributes) if "=" in attributes and tag not in ("html", "body", "article", "main") else ():
+COMMENT_WORDS = frozenset("comment comments disqus reply replies".split())
+#: A marked element is the page's own frame if it holds this share of all text and at most half of it is links.
+FRAME_SHARE = 0.7
+#: Elements beside the main part, directly in the body, that are read as parts of it.
+PARTS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup blockquote pre ul ol dl table figure section".split())
+
+
+def _mark(tag: str, attributes: str) -> int:
+    """1 if the element's role, class or id speak against it, 2 if they name reader comments, else 0."""
+    if "=" not in attributes or tag in ("html", "body"):
+        return 0
+    mark = 0
+    for name, a, b, c in NAMED.findall(attributes):
         value = (a or b or c).lower()
         if name.lower() == "role":
-            if value in NOT_ROLES:
-                return True
-        elif not NOT_WORDS.isdisjoint(re.split(r"[\s_\-:]+", value)):
-            return True
-    if tag in ("article", "main") and "=" in attributes:  # a comment may be an article of its own
-        return any(not {"comment", "comments", "reply", "ad", "advert"}.isdisjoint(re.split(r"[\s_\-:]+", (a or b or c).lower())) for _, a, b, c in NAMED.findall(attributes))
-    return False
+            mark = max(mark, int(value in NOT_ROLES and tag not in ("article", "main")))
+            continue
+        found = set(re.split(r"[\s_\-:]+", value))
+        if not COMMENT_WORDS.isdisjoint(found):
+            mark = 2
+        elif tag in ("article", "main"):
+            mark = max(mark, int(not found.isdisjoint({"ad", "advert"})))
+        elif not NOT_WORDS.isdisjoint(found):
+            mark = max(mark, 1)
+    return mark
 
 
 class Page:
@@ -54,10 +66,13 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.tags, self.parents, self.skip, self.link = [""], [-1], [False], [False]
+        self.marks = [0]
         self.chars, self.count, self.link_chars, self.link_count = [0], [0], [0], [0]
         self.flow: list[tuple[int, str | None]] = []  # text of a node; None ends a block
         self.stack = [0]
+        self.depths: dict[str, list[int]] = {}  # where in the stack each kind of element stands
         self._read(source)
+        self._drop_marked()
 
     def _text(self, raw: str) -> None:
         node = self.stack[-1]
@@ -71,15 +86,14 @@ class Page:
 
     def _close(self, names: tuple[str, ...], bounds: tuple[str, ...] = ()) -> None:
         """Leave the innermost open element of these names, unless a bound stands inside it."""
-        for depth in range(len(self.stack) - 1, 0, -1):
-            tag = self.tags[self.stack[depth]]
-            if tag in names:
-                if any(self.tags[n] in BLOCKS for n in self.stack[depth:]):
-                    self.flow.append((self.stack[depth], None))
-                del self.stack[depth:]
-                return
-            if tag in bounds:
-                return
+        depth = max((d[-1] for n in names if (d := self.depths.get(n))), default=0)
+        if depth and depth > max((d[-1] for n in bounds if n not in names and (d := self.depths.get(n))), default=0):
+            left = self.stack[depth:]
+            for n in left:
+                self.depths[self.tags[n]].pop()
+            if any(self.tags[n] in BLOCKS for n in left):
+                self.flow.append((self.stack[depth], None))
+            del self.stack[depth:]
 
     def _open(self, tag: str, attributes: str, stays: bool) -> int:
         if tag in BLOCKS:
@@ -91,7 +105,8 @@ class Page:
         parent = self.stack[-1]
         self.tags.append(tag)
         self.parents.append(parent)
-        self.skip.append(self.skip[parent] or _unwanted(tag, attributes))
+        self.skip.append(self.skip[parent] or tag in NOT_TEXT)
+        self.marks.append(0 if self.skip[-1] else _mark(tag, attributes))
         self.link.append(self.link[parent] or tag == "a")
         for counts in (self.chars, self.count, self.link_chars, self.link_count):
             counts.append(0)
@@ -99,6 +114,7 @@ class Page:
         if not self.skip[node]:
             self.count[node], self.link_count[node] = 1, int(tag == "a")
         if stays:
+            self.depths.setdefault(tag, []).append(len(self.stack))
             self.stack.append(node)
         return node
 
@@ -139,29 +155,68 @@ class Page:
             else:
                 self._open(name, attributes, not attributes.endswith("/") or name not in ("svg", "path"))
 
+    def _sums(self, own: list[int]) -> list[int]:
+        """Of every node the sum over its subtree."""
+        total = own.copy()
+        for n in range(len(total) - 1, 0, -1):
+            total[self.parents[n]] += total[n]
+        return total
+
+    def _drop_marked(self) -> None:
+        """Skip marked elements but frames: ones that hold an article or main, the headline, or most of the text.
+
+        Reader comments are frames only with an article or main, every headline and most of the text in them. If an
+        article or main stands outside all marked elements, none of these is a frame.
+        """
+        if not any(self.marks):
+            return
+        total = len(self.tags)
+        chars, links = self._sums(self.chars), self._sums(self.link_chars)
+        under, clear = [0] * total, False  # under: the strongest mark of the node and those above it
+        for n in range(1, total):
+            under[n] = max(under[self.parents[n]], self.marks[n])
+            clear |= self.tags[n] in ("article", "main") and not under[n] and not self.skip[n] and chars[n] > 0
+        articles = self._sums([int(t in ("article", "main") and m == 0 and not k) for t, m, k in zip(self.tags, self.marks, self.skip)])
+        heads = self._sums([int(t == "h1" and not k and c > 0) for t, k, c in zip(self.tags, self.skip, chars)])
+        for n in range(1, total):
+            if self.marks[n] and not self.skip[n]:
+                most = chars[n] >= FRAME_SHARE * chars[0] and 2 * links[n] <= chars[n]
+                self.skip[n] = clear or not (most or articles[n] or heads[n] if self.marks[n] == 1 else most and articles[n] and heads[n] == heads[0])
+            if self.skip[self.parents[n]]:
+                self.skip[n] = True
+            if self.skip[n]:
+                self.chars[n] = self.count[n] = self.link_chars[n] = self.link_count[n] = 0
+
     def main_text(self) -> str:
         root, threshold, density = self._densest()
         if root is None:
             return ""
+        named = self.tags[root] in ("article", "main")
         path, node = {root}, self.parents[root]
         while node >= 0:
             path.add(node)
             node = self.parents[node]
-        whole_nodes = [False] * len(self.tags)  # parents come first
+        kept = [False] * len(self.tags)  # parents come first
         for n in range(len(self.tags)):
             parent = self.parents[n]
-            whole_nodes[n] = n == root or (parent >= 0 and (whole_nodes[parent] or (parent in path and n not in path and self.tags[root] not in ("article", "main")
-                                                                                    and self.chars[n] > 0 and density[n] >= threshold)))
+            kept[n] = not self.skip[n] and (n == root or parent >= 0 and (kept[parent] or (not named and parent in path and n not in path and self._belongs(n, parent, threshold, density))))
         blocks, parts = [], []
         for node, text in [*self.flow, (0, None)]:
             if text is None:
                 if block := " ".join("".join(parts).split()):
                     blocks.append(block)
                 parts = []
-            elif whole_nodes[node] or (node in path and self.tags[root] not in ("article", "main")):
+            elif kept[node] or (node in path and not named and not self.skip[node]):
                 parts.append(text)
         return "\n\n".join(blocks)
 
+    def _belongs(self, n: int, parent: int, threshold: float, density: list[float]) -> bool:
+        """If an element beside the path to the main part is of it: dense enough, or prose (links are under a third) in the same frame or of a kind that holds prose."""
+        if not self.chars[n]:
+            return False
+        prose = 3 * self.link_chars[n] < self.chars[n]
+        return density[n] >= threshold or prose and (self.tags[parent] not in ("", "html", "body") or self.tags[n] in PARTS)
+
     def _densest(self) -> tuple[int | None, float, list[float]]:
         """Node whose children's densities have the largest sum (its article, if it stands in one), and the body path's threshold."""
         total = len(self.tags)
@@ -209,6 +264,9 @@ def main_text(source: str) -> str:
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """One row per page: ``key``, ``url``, text, n_chars (code points).
 
+    The main part is the densest node's article or main. Without one it is the densest node with
+    the prose around it. Roles, classes and ids that name menus, notices, adverts or comments speak
+    against an element, unless it is the frame of the main part.
     The text is the page's main part: character references are decoded, white space inside a
     block becomes one space, blocks are trimmed and joined by an empty line in page order. It is
     empty for a null page and for one without text. Whole pages are read, nothing is shuffled;
