@@ -7,7 +7,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import accumulate, count
 from typing import NamedTuple
 
 import numpy as np
@@ -26,6 +26,8 @@ MEMO_BYTES, MEMO_CHUNK = 64 << 20, 64
 BLOCK = 4096
 #: A single space between two characters that are no white space.
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Any other space: one beside white space.
+WIDE = re.compile(r" \s|[^\S ] ")
 LINKS = "array<struct<a:int,b:int,times:int>>"
 
 
@@ -37,19 +39,15 @@ class Aligned(NamedTuple):
     n_b: int
 
 
-def slices(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int, int, int]]:
-    """Slices (a from, a to, b from, b to) of two token lists over the same bytes, cut where both end.
+def cuts(a_sizes: list[int], b_sizes: list[int]) -> tuple[list[int], list[int], list[int]]:
+    """Offsets where tokens of both lists over the same bytes end, and how many tokens of each list end up to there.
 
     The ends of each list, as running sums, are keys of a dictionary that tells the token's
-    number; the keys in common, sorted, are the cuts.
+    number; the keys in common, sorted, cut both lists into slices.
     """
-    a_at = {end: i for i, end in enumerate(accumulate(a_sizes), 1)}
-    b_at = {end: i for i, end in enumerate(accumulate(b_sizes), 1)}
-    out, i, j = [], 0, 0
-    for end in sorted(a_at.keys() & b_at.keys()):
-        out.append((i, a_at[end], j, b_at[end]))
-        i, j = a_at[end], b_at[end]
-    return out
+    a_at, b_at = dict(zip(accumulate(a_sizes), count(1))), dict(zip(accumulate(b_sizes), count(1)))
+    common = sorted(a_at.keys() & b_at.keys())
+    return common, [*map(a_at.__getitem__, common)], [*map(b_at.__getitem__, common)]
 
 
 def overlaps(a_sizes: list[int], b_sizes: list[int]) -> list[tuple[int, int]]:
@@ -86,17 +84,17 @@ class Aligner:
         self.first, self.second = Tokenizer.from_file(a_path), sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.first.encode_special_tokens = True
         shown = {mark: byte for byte, mark in enumerate(byte_marks())}
-        self.a_bytes = {i: bytes(map(shown.get, t)) if set(t) <= shown.keys() else t.encode() for t, i in self.first.get_vocab(with_added_tokens=True).items()}
+        self.a_bytes: dict[int, bytes] = {i: bytes(map(shown.get, t)) if set(t) <= shown.keys() else t.encode() for t, i in self.first.get_vocab(with_added_tokens=True).items()}
         model, self.b_bytes, self.cuts = self.second, [], True
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[1:-1], 16)]) if model.is_byte(i) else piece.replace("▁", " ").encode())
             self.cuts &= "▁" not in piece.lstrip("▁")
-        self.known: dict[str, Aligned | None] = {}
-        self.older: dict[str, Aligned | None] = {}
+        self.known: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
         self.held = 0
 
-    def _aligned(self, chunks: list[str]) -> dict[str, Aligned | None]:
+    def _aligned(self, chunks: list[str]) -> dict[str, tuple | None]:
         """Alignments of chunks, which are put behind each other with spaces, tokenised and sliced as one text."""
         text = " ".join(chunks)
         a, b = self.first.encode(" " + text, add_special_tokens=False).ids, self.second.encode(text)
@@ -104,40 +102,38 @@ class Aligner:
         if not b"".join(a_parts) == b"".join(b_parts) == b" " + text.encode():
             return {chunks[0]: None} if len(chunks) == 1 else {c: r for one in chunks for c, r in self._aligned([one]).items()}
         a_sizes, b_sizes = [*map(len, a_parts)], [*map(len, b_parts)]
-        cuts = slices(a_sizes, b_sizes)
-        names, links, numbers, ends = [], [], [0], {0: (0, 0, 0)}
-        at = 0
-        for group, (i, i_end, j, j_end) in enumerate(cuts, 1):
-            if i_end - i == 1 == j_end - j:
-                names.append(f"{a[i]}|{b[j]}")
-                links.append(a[i] << 32 | b[j])
-                at += a_sizes[i]
-            else:
-                names.append(f"{','.join(map(str, a[i:i_end]))}|{','.join(map(str, b[j:j_end]))}")
-                links += [a[i + p] << 32 | b[j + q] for p, q in overlaps(a_sizes[i:i_end], b_sizes[j:j_end])]
-                at += sum(a_sizes[i:i_end])
-            numbers.append(len(links))
-            ends[at] = (group, i_end, j_end)
-        data, out = np.array(links, dtype=np.int64).tobytes(), {}
-        at = group = i = j = 0
-        for chunk in chunks:
-            at += 1 + len(chunk.encode())
-            upto, i_end, j_end = ends[at]
-            out[chunk] = Aligned(";".join(names[group:upto]), data[8 * numbers[group]:8 * numbers[upto]], i_end - i, j_end - j)
-            group, i, j = upto, i_end, j_end
-        return out
+        ends, a_cut, b_cut = cuts(a_sizes, b_sizes)
+        a_from, b_from = np.array([0, *a_cut]), np.array([0, *b_cut])
+        a_ids, b_ids = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        # Slices of one token each are most of all: their names and links are made at once, the others' one by one.
+        names = [f"{x}|{y}" for x, y in zip(a_ids[a_from[:-1]].tolist(), b_ids[b_from[:-1]].tolist())]
+        links, each = a_ids[a_from[:-1]] << 32 | b_ids[b_from[:-1]], np.ones(len(ends), dtype=np.int64)
+        more, at = [], np.flatnonzero((np.diff(a_from) > 1) | (np.diff(b_from) > 1))
+        for g, i, i_end, j, j_end in zip(at.tolist(), *[c.tolist() for c in (a_from[at], a_from[at + 1], b_from[at], b_from[at + 1])]):
+            names[g] = f"{','.join(map(str, a[i:i_end]))}|{','.join(map(str, b[j:j_end]))}"
+            found = [a[i + p] << 32 | b[j + q] for p, q in overlaps(a_sizes[i:i_end], b_sizes[j:j_end])]
+            each[g] = len(found)
+            more += found
+        firsts = np.r_[0, np.cumsum(each)]
+        spread, taken = np.repeat(links, each), np.zeros(len(ends), dtype=bool)
+        taken[at] = True
+        spread[np.repeat(taken, each)] = np.array(more, dtype=np.int64)
+        data, order = spread.tobytes(), dict(zip(ends, count(1)))
+        upto = [0, *map(order.__getitem__, accumulate(1 + len(c.encode()) for c in chunks))]
+        places = [x[upto].tolist() for x in (8 * firsts, a_from, b_from)]
+        return {c: (";".join(names[g:h]), data[x:y], i_end - i, j_end - j)
+                for c, g, h, x, y, i, i_end, j, j_end in zip(chunks, upto, upto[1:], *[v for p in places for v in (p, p[1:])])}
 
     def chunks(self, text: str) -> list[str]:
-        if not self.cuts:
-            return [text]
-        parts = text.split(" ")
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in set(parts)):
+        if not self.cuts or not text:
+            return [text] if text else []
+        if text[0].isspace() or text[-1].isspace() or WIDE.search(text):
             return CUT.split(text)
-        return parts
+        return text.split(" ")
 
     def align(self, texts: list[str]) -> list[Aligned | None]:
         """Of every text its alignment; none if it is empty or the tokens' bytes are not those of a space and the text."""
-        cut = [self.chunks(t) if t else [] for t in texts]
+        cut = [*map(self.chunks, texts)]
         missing = set().union(*cut) - self.known.keys()
         found = {c: self.older[c] for c in missing & self.older.keys()}
         fresh = [*(missing - found.keys())]
@@ -145,7 +141,7 @@ class Aligner:
         fresh = [*(set(fresh) - set(alone))]
         for block in [[c] for c in alone] + [fresh[at:at + BLOCK] for at in range(0, len(fresh), BLOCK)]:
             found |= self._aligned(block)
-        self.held += sum(300 + 3 * len(c) + (len(r.groups) + len(r.links) if r else 0) for c, r in found.items())
+        self.held += sum([400 + (len(r[0]) + len(r[1]) if r else 0) for r in found.values()])
         self.known |= found
         out = []
         for chunks in cut:

@@ -74,10 +74,10 @@ def test_equals_whole_texts(spark, compared, head):
     assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), head_pairs=head) == want
 
 
-def test_slices_and_overlaps():
-    assert alignment.slices([1, 2, 3], [3, 1, 2]) == [(0, 2, 0, 1), (2, 3, 1, 3)]
+def test_cuts_and_overlaps():
+    assert alignment.cuts([1, 2, 3], [3, 1, 2]) == ([3, 6], [2, 3], [1, 3])
     assert alignment.overlaps([2, 2, 1], [1, 3, 1]) == [(0, 0), (0, 1), (1, 1), (2, 2)]
-    assert alignment.slices([], []) == [] == alignment.overlaps([], [])
+    assert alignment.cuts([], []) == ([], [], []) and alignment.overlaps([], []) == []
 
 
 def test_memory_of_chunks_changes_nothing(monkeypatch, table):
