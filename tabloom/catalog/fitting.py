@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabloom.catalog.base import hash_sql, miss, miss_sql, query
 from tabloom.operators.encode import Preprocessor, standardize
 from tabloom.operators.impute import ChainedImputer, GroupDrawImputer, KnnImputer, MedianImputer
+from tabloom.operators.levels import fit_levels, level_codes, one_hot
 from tabloom.operators.split import folds, stratified_split
 from tabloom.plans.features import FeatureConfig, FeatureModel, fit_features
 from tabloom.session import scratch_path
@@ -167,6 +168,24 @@ def unseen_levels(read):
     return model.transform(rows, ["o_orderkey"])
 
 
+@query("many_levels", """
+WITH t AS (SELECT l_orderkey, l_linenumber, CAST(l_orderkey AS VARCHAR) AS a, l_partkey::VARCHAR || '/' || l_suppkey::VARCHAR AS b, CASE WHEN l_partkey % 3 <> 0 THEN l_returnflag END AS c FROM lineitem),
+f AS (SELECT * FROM t WHERE l_linenumber <= 4),
+a AS (SELECT a, row_number() OVER (ORDER BY a::DOUBLE) - 1 AS code FROM (SELECT DISTINCT a FROM f)), b AS (SELECT b, row_number() OVER (ORDER BY b) - 1 AS code FROM (SELECT DISTINCT b FROM f)),
+c AS (SELECT c, row_number() OVER (ORDER BY c NULLS FIRST) - 1 AS code FROM (SELECT DISTINCT c FROM f)), n AS (SELECT (SELECT count(*) FROM a) AS na, (SELECT count(*) FROM b) AS nb, (SELECT count(*) FROM c) AS nc)
+SELECT l_orderkey, l_linenumber, coalesce(a.code, -1) AS ord__order, coalesce(b.code, -1) AS ord__pair, coalesce(c.code, -1) AS ord__flag,
+    '(' || (na + nb + nc) || ',[' || concat_ws(',', a.code, na + b.code, na + nb + c.code) || '],[' || concat_ws(',', if(a.code IS NULL, NULL, '1.0'), if(b.code IS NULL, NULL, '1.0'), if(c.code IS NULL, NULL, '1.0')) || '])' AS features
+FROM t CROSS JOIN n LEFT JOIN a ON t.a = a.a LEFT JOIN b ON t.b = b.b LEFT JOIN c ON t.c IS NOT DISTINCT FROM c.c""")
+def many_levels(read):
+    """Codes and sparse vectors of columns with tens of thousands of levels, fitted on the first four lines of the orders."""
+    rows = read("lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("order"),
+                                   F.concat(F.col("l_partkey").cast("string"), F.lit("/"), F.col("l_suppkey").cast("string")).alias("pair"),
+                                   F.when(F.col("l_partkey") % 3 != 0, F.col("l_returnflag")).alias("flag"))
+    dictionary = fit_levels(rows.where("l_linenumber <= 4"), ["order", "pair", "flag"])
+    told = one_hot(level_codes(rows, dictionary), dictionary)
+    return told.select("l_orderkey", "l_linenumber", "ord__order", "ord__pair", "ord__flag", F.col("features").cast("string").alias("features"))
+
+
 @query("standardize", """
 SELECT l_orderkey, l_linenumber, round((l_quantity - m1) / s1, 5) AS l_quantity, round((l_extendedprice - m2) / s2, 5) AS l_extendedprice
 FROM lineitem, (SELECT avg(l_quantity) AS m1, stddev_pop(l_quantity) AS s1, avg(l_extendedprice) AS m2, stddev_pop(l_extendedprice) AS s2 FROM lineitem)""")
