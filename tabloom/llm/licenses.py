@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -138,18 +140,22 @@ def detect(found: list[bytes]) -> list[tuple[str, float, int, int, bool, bool]]:
     joined = b" ".join(found)
     if not any(gate in joined for gate in _gates()):
         return []
-    spans = []
+    spans, starts = [], [0, *accumulate(len(w) + 1 for w in found)]
     for place, rule in enumerate(rules()):
         if all(k in joined for k in rule.keywords):
             for hit in rule.pattern.finditer(joined):
-                start = joined.count(b" ", 0, hit.start())
+                start = bisect_right(starts, hit.start()) - 1
                 spans.append((rule, place, start, start + hit[0].count(b" ") + 1))
     spans.sort(key=lambda s: (-s[0].strength, s[2] - s[3], s[1], s[2]))
-    out, held = [], []
+    # Kept matches that no other one contains: in order of their starts they are in order of their ends too.
+    out, firsts, lasts = [], [], []
     for rule, _, start, end in spans:
-        kept = not any(a <= start and end <= b for a, b in held)
+        at = bisect_right(firsts, start)
+        kept = not (at and end <= lasts[at - 1])
         if kept:
-            held.append((start, end))
+            low = bisect_left(firsts, start)
+            high = max(low, bisect_right(lasts, end))
+            firsts[low:high], lasts[low:high] = [start], [end]
         out.append((rule.label, rule.strength, start, end - start, rule.base, kept))
     return out
 

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from dataclasses import replace
 
 import pytest
@@ -98,3 +99,21 @@ def test_spaced_creative_commons_names(spark):
              "Creative Commons BY-NC-SA 4.0", "Creative Commons BY-NC"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert [r["labels"] for r in licenses.summary(licenses.scan(docs)).orderBy("doc_id").collect()] == ["cc-by-nc", "cc-by-sa", "cc-by-sa", "cc-by-nc-sa", "cc-by-nc"]
+
+
+def test_containment_against_all_pairs():
+    rnd = random.Random(9)
+    parts = ["mit license", "licensed under the apache license version 2 0", "gnu general public license version 3", "the", "creative commons attribution", "all rights reserved", "word", "copyright"]
+    for _ in range(60):
+        found = " ".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 60))).encode().split()
+        held = []
+        for label, _strength, start, size, _base, kept in licenses.detect(found):
+            assert kept == (not any(a <= start and start + size <= b for a, b in held)), (label, start)
+            if kept:
+                held.append((start, start + size))
+
+
+def test_time_of_many_matches():
+    start = time.process_time()
+    assert len(licenses.detect(b"mit license ".split() * 60_000)) >= 60_000
+    assert time.process_time() - start < 20
