@@ -77,6 +77,14 @@ def leak_guard(read):
     return C.leak_guard(rows, "o_orderstatus", ["price"])
 
 
+@query("leak_guard_prefix", "SELECT o_orderkey, o_orderstatus, floor(o_totalprice / 1000)::BIGINT AS unit_price FROM orders")
+def leak_guard_prefix(read):
+    """Only names that start with a stem go; the target stays though its name does."""
+    rows = read("orders").select("o_orderkey", "o_orderstatus", F.floor(F.col("o_totalprice") / 1000).alias("unit_price"),
+                                 F.col("o_totalprice").alias("Price_total"), F.col("o_totalprice").alias("PRICE"), F.length("o_orderstatus").alias("o_orderstatus_len"))
+    return C.leak_guard(rows, "o_orderstatus", ["price", "O_ORDERSTATUS"], prefix_only=True)
+
+
 @query("join_inner_keys", """
 WITH a AS (SELECT l_orderkey, l_partkey, l_suppkey, sum(l_quantity) AS qty FROM lineitem GROUP BY ALL),
      b AS (SELECT l_orderkey, l_partkey, l_suppkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL)

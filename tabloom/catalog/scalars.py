@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabloom.catalog.base import miss, miss_sql, query
 from tabloom.functions import numbers as N
 from tabloom.functions import text as tx
-from tabloom.operators.ranks import exact_quantiles
+from tabloom.operators.ranks import cut_or_quantiles
 from tabloom.operators.sentiment import lexicon_sentiment
 from tabloom.operators.tables import class_sentiment_summary
 from tabloom.plans import clean as CL
@@ -95,9 +95,17 @@ SELECT l_orderkey, l_linenumber, l_extendedprice,
 FROM lineitem, (SELECT quantile_cont(l_extendedprice, 0.5) AS q2, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem)""")
 def quantile_cut(read):
     rows = read("lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    q2, q3 = exact_quantiles(rows, ["l_extendedprice"], [0.5, 0.75])["l_extendedprice"]
-    edges = [float("-inf"), q2, q3, float("inf")]
-    return rows.withColumn("band", N.cut(F.col("l_extendedprice"), edges, ["low", "mid", "high"]))
+    return cut_or_quantiles(rows, "l_extendedprice", [0.0, 1e6, 2e6, rows.agg(F.max("l_extendedprice")).first()[0]], ["low", "mid", "high"], "band")
+
+
+@query("sex_codes", """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber IN (1, 2) AND l_orderkey % 7 <> 0 THEN l_linenumber END::DOUBLE AS FARS__SEX,
+    CASE WHEN l_linenumber IN (1, 2) AND l_orderkey % 7 <> 0 THEN l_linenumber ELSE 3 END::BIGINT AS FARS__SEX_3cat,
+    CASE WHEN l_orderkey % 7 = 0 THEN 'Missing' WHEN l_linenumber = 1 THEN 'Male' WHEN l_linenumber = 2 THEN 'Female' ELSE 'Missing' END AS FARS__SEX_label FROM lineitem""")
+def sex_codes(read):
+    """Code and label of 1 and 2; every other code and a missing one are the third class."""
+    rows = read("lineitem").select("l_orderkey", "l_linenumber", miss("l_orderkey", "l_linenumber").cast("double").alias("FARS__SEX"), F.lit(2).alias("Severity"))
+    return CL.clean(rows).select("l_orderkey", "l_linenumber", "FARS__SEX", "FARS__SEX_3cat", "FARS__SEX_label")
 
 
 @query("float32_cut", """

@@ -32,6 +32,18 @@ def roundtrip_csv(read):
     return RD.read_csv(orders.sparkSession, f"{folder}/orders.csv", ORDERS_DDL + ", note string", line_breaks=True)
 
 
+@query("csv_byte_order_mark", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
+def csv_byte_order_mark(read):
+    """A CSV file that starts with a byte order mark: the first column keeps its plain name."""
+    rows = read("customer").select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment").alias("value"))
+    folder = scratch_path(rows.sparkSession, "mark")
+    # One file for each partition; each has the mark and the header in its first line.
+    files = rows.repartition(2).sortWithinPartitions("value")
+    head = F.when(F.monotonically_increasing_id() % (1 << 33) == 0, F.lit("\ufeffc_custkey,c_name,c_mktsegment\n")).otherwise("")
+    files.select(F.concat(head, "value").alias("value")).write.text(folder)
+    return RD.read_csv(rows.sparkSession, folder, "c_custkey bigint, c_name string, c_mktsegment string")
+
+
 @query("read_any_roundtrip", """
 SELECT 'preferred' AS kind, n_nationkey, n_name FROM nation
 UNION ALL SELECT 'first', r_regionkey, r_name FROM region UNION ALL SELECT 'parquet', n_nationkey, n_name FROM nation""")

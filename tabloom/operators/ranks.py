@@ -17,7 +17,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabloom.functions.numbers import number
+from tabloom.functions.numbers import cut, number
 from tabloom.session import small_table
 
 BINS = 2048
@@ -278,3 +278,22 @@ def group_quantiles(df: DataFrame, columns: Sequence[str], by: Sequence[str],
         finals.append((F.col(f"a{i}") + (F.col(f"b{i}") - F.col(f"a{i}")) * share).alias(f"q{i}"))
     return (joined.groupBy(*by, "column", "total").agg(*picks)
             .select(*by, "column", F.col("total").alias("n"), *finals))
+
+
+def cut_or_quantiles(df: DataFrame, column: str, edges: Sequence[float], labels: Sequence[str], out: str) -> DataFrame:
+    """``df`` with the band of ``column`` between ``edges``, or between exact quantiles if the edges collapse.
+
+    Edges collapse if they do not increase, as when the last one is the data's maximum and lies
+    below a fixed one. Then the bands are those of the median and equal shares above it: for three
+    labels up to the median, up to the upper quartile, and beyond. A column without a number has no band.
+    """
+    if all(a < b for a, b in zip(edges, edges[1:])):
+        return df.withColumn(out, cut(number(df, column), list(edges), list(labels)))
+    shares = [0.5 + 0.5 * i / (len(labels) - 1) for i in range(len(labels) - 1)]
+    found = exact_quantiles(df.select(number(df, column).alias("v")), ["v"], shares)["v"]
+    if found[0] is None:
+        return df.withColumn(out, F.lit(None).cast("string"))
+    bands = F.lit(labels[-1])
+    for q, label in reversed(list(zip(found, labels))):
+        bands = F.when(number(df, column) <= q, F.lit(label)).otherwise(bands)
+    return df.withColumn(out, F.when(number(df, column).isNotNull(), bands))

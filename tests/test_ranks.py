@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tabloom.operators import ranks as R
 from tabloom.operators.ranks import exact_quantiles, group_quantiles, value_ranks
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
@@ -67,3 +68,12 @@ def test_quantiles_of_infinite_and_very_wide_values(spark, sort_rows):
         a, b, share = rows[low], rows[min(low + 1, len(rows) - 1)], (len(rows) - 1) * p - low
         assert g == (a if a == b or not share else pytest.approx(a + (b - a) * share))
     assert got["b"] == pytest.approx([(len(wide) - 1) * p for p in probs])
+
+
+def test_cut_or_quantiles(spark):
+    rows = spark.createDataFrame([(1.0,), (2.0,), (2.0,), (3.0,), (9.0,), (None,)], "v double")
+    band = lambda edges, df=rows: [r["b"] for r in R.cut_or_quantiles(df, "v", edges, ["low", "mid", "high"], "b").orderBy(F.asc_nulls_last("v")).collect()]
+    assert band([0.0, 2.0, 3.0, 9.0]) == ["low", "low", "low", "mid", "high", None]
+    assert band([0.0, 20.0, 30.0, 9.0]) == ["low", "low", "low", "mid", "high", None]
+    assert band([0.0, 5.0, 5.0, 9.0], rows.where("v > 8")) == ["low"]
+    assert band([1.0, 1.0, 2.0], rows.where("v IS NULL")) == [None]
