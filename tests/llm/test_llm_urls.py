@@ -34,13 +34,36 @@ def test_rules_and_parts(spark, monkeypatch, model):
     assert got[-1]["verdict"] == "block"
 
 
+BAD = "escortsite.net sexcams.net torrentz.to porno.com cheapmeds.net bigcasino.net mypokerplace.com bitcoinmixer.org xxxvideo.com bestreplicas.org phishingpage.com adultfun.net malwarebox.com".split()
+GOOD = ("debian.org apache.org arxiv.org redcross.org wikipedia.org bbc.co.uk nytimes.com github.com stackoverflow.com mozilla.org nasa.gov who.int mit.edu stanford.edu spiegel.de "
+        "elpais.com guardian.co.uk etsy.com ikea.com target.com wunderground.com imdb.com khanacademy.org coursera.org gutenberg.org gardening.org").split()
+
+
 def test_model_on_other_hosts(spark, monkeypatch, model):
+    known = {w for host, _, _ in urls.labelled_urls() for w in re.split("[.-]", host)} - {"com", "net", "org"}
+    assert not {w for host in BAD + GOOD for w in host.split(".")[:1]} & known
     monkeypatch.setattr(urls, "train", lambda *_: model)
-    bad = [f"http://{h}.org/en/{i}" for i, h in enumerate(("big-casino", "www.cheappills24", "ads-tracker7", "freebets", "spam-farms", "poker-bonus"))]
-    good = [f"http://{h}.org/en/{i}" for i, h in enumerate(("city-library", "www.weather-notes", "gardening", "school-books", "the-history", "southern-news"))]
-    rows = spark.createDataFrame(list(enumerate(bad + good)), "page_id long, url string")
+    rows = spark.createDataFrame([(i, f"http://{h}/en/{i}") for i, h in enumerate(BAD + GOOD)], "page_id long, url string")
     got = [r["score"] > 0.5 for r in sorted(urls.judge(rows, []).collect())]
-    assert sum(got[:6]) >= 5 and sum(got[6:]) <= 1
+    assert sum(got[:len(BAD)]) >= 0.8 * len(BAD) and sum(got[len(BAD):]) <= 0.1 * len(GOOD)
+
+
+def test_grams(spark):
+    def grams(part):
+        marked = f"^{part}$"
+        return {marked[i:i + n] for n in urls.GRAMS for i in range(len(marked) - n + 1)}
+    rows = spark.createDataFrame([("a.example.com", "/en/12.html"), ("", ""), ("é", "/"), ("aaaaaaa", "/99")], "host string, path string")
+    every = rows.withColumn("found", urls.gram_buckets(rows.host, rows.path)).collect()
+    for r in every:
+        wanted = {("host", g) for g in grams(r["host"])} | {("path", g) for g in grams(re.sub("[0-9]", "0", r["path"]))}
+        values = ", ".join(f"('{n}', '{g}')" for n, g in wanted) or "('', '')"
+        told = spark.sql(f"SELECT DISTINCT pmod(xxhash64(n, g), {urls.BUCKETS}) AS b FROM VALUES {values} AS t(n, g)").collect() if wanted else []
+        assert set(r["found"]) == {t["b"] for t in told} and len(r["found"]) == len(told)
+
+
+def test_table_leaves_out_words_and_kinds():
+    less = urls.labelled_urls(["casino", "malware"])
+    assert len(less) < len(urls.labelled_urls()) and not [h for h, _, _ in less if "casino" in h or "trojan" in h]
 
 
 def test_no_python_in_the_plan(spark, monkeypatch, model):
