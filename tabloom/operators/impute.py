@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,8 @@ from tabloom.session import BROADCAST_ROWS, cut_lineage, fits, small_table
 
 POOL_WIDTH = 1_000_000
 DRAWS_PER_TASK = 1_000_000
+# Patterns of gaps whose moments go to the driver, and columns up to which every pattern gets a row of coefficients.
+MOMENT_PATTERNS, PATTERN_COLUMNS = 1_024, 12
 
 
 def fill_constant(df: DataFrame, values: dict) -> DataFrame:
@@ -302,6 +306,10 @@ class ChainedImputer:
     one aggregate over the training rows, are all the fit needs: regressions for every
     column and round are solved from them, and applying the model is one projection.
     Only the stopping rule looks at the rows with gaps again, once per round.
+
+    Rows with more than MOMENT_PATTERNS different patterns are passed over instead, once for each
+    column and round; tasks send one matrix of second moments each and nothing is shuffled.
+    Beyond PATTERN_COLUMNS columns the model is applied step by step in Arrow batches.
     """
 
     columns: list[str]
@@ -313,8 +321,6 @@ class ChainedImputer:
 
     def fit(self, train: DataFrame) -> ChainedImputer:
         p = len(self.columns)
-        if p > 12:
-            raise ValueError("one model per pattern of gaps: chain at most 12 columns")
         names = [f"v{i}" for i in range(p)]
         narrow = train.select(*[number(train, c).alias(n) for c, n in zip(self.columns, names)])
         med = exact_quantiles(narrow, names, [0.5])
@@ -326,6 +332,8 @@ class ChainedImputer:
         aggs = [F.count("*").alias("n"), *[F.max(F.abs(n)).alias(f"m{i}") for i, n in enumerate(names)]]
         aggs += [F.sum(z[i]).alias(f"s{i}") for i in range(p)]
         aggs += [F.sum(z[i] * z[j]).alias(f"s{i}_{j}") for i in range(p) for j in range(i, p)]
+        if p > 62 or p > PATTERN_COLUMNS and narrow.select(_pattern(names).alias("gap")).distinct().limit(MOMENT_PATTERNS + 1).count() > MOMENT_PATTERNS:
+            return self._fit_by_rows(narrow.select(*[(F.col(n) - F.lit(float(m))).alias(n) for n, m in zip(names, centre)]), names, centre)
         coded = narrow.withColumn("gap", _pattern(names))
         moments, size = {}, 0.0
         for row in coded.groupBy("gap").agg(*aggs).collect():
@@ -351,15 +359,42 @@ class ChainedImputer:
                 self.steps.append((j, coef.tolist(), float(shift)))
             self.rounds += 1
             moves = [(g, (maps[g] - before[g])[j].tolist()) for g in maps if g for j in range(p) if g >> j & 1]
-            table = small_table(train.sparkSession, moves, "gap int, a array<double>")
+            table = small_table(train.sparkSession, moves, "gap bigint, a array<double>")
             moved = holes.join(F.broadcast(table), "gap").agg(F.max(F.abs(_affine("a", z)))).first()[0]
             if moved < self.tolerance * size:
                 break
         return self
 
+    def _fit_by_rows(self, centred: DataFrame, names: list[str], centre: np.ndarray) -> ChainedImputer:
+        """The same regressions from the rows themselves: the rows with their fills are written once a round."""
+        p, spark = len(names), centred.sparkSession
+        facts = centred.agg(*[F.count_if(F.col(n).isNull()).alias(f"g{i}") for i, n in enumerate(names)],
+                            *[F.max(F.abs(F.col(n) + F.lit(float(m)))).alias(f"m{i}") for i, (n, m) in enumerate(zip(names, centre))]).first()
+        order = [j for j in sorted(range(p), key=lambda j: facts[f"g{j}"]) if facts[f"g{j}"]]
+        size = max(facts[f"m{i}"] for i in range(p))
+        state = cut_lineage(centred.select(F.array(*[F.col(n).isNull() for n in names]).alias("gap"), F.array(*[F.coalesce(n, F.lit(0.0)) for n in names]).alias("z")))
+        for _round in range(self.max_rounds):
+            done: list[tuple] = []
+            for j in order:
+                # One row of (p + 1)^2 sums per task.
+                parts = state.mapInArrow(_grams(done, j, p), "s array<double>").collect()
+                coef, intercept = _bayes_ridge(np.sum([r["s"] for r in parts], axis=0).reshape(p + 1, p + 1), j, p)
+                done.append((j, coef, intercept))
+                self.steps.append((j, coef.tolist(), float(centre[j] + intercept - float(coef @ centre))))
+            self.rounds += 1
+            state = cut_lineage(state.mapInArrow(_advanced(done, p), "gap array<boolean>, z array<double>, moved double"))
+            if state.agg(F.max("moved")).first()[0] < self.tolerance * size:
+                break
+            state = state.drop("moved")
+        return self
+
     def transform(self, df: DataFrame) -> DataFrame:
         p = len(self.columns)
         values = [number(df, c) for c in self.columns]
+        if p > PATTERN_COLUMNS:
+            free = "_" * (1 + max(len(c) for c in df.columns)) + "chained"
+            filled = df.withColumn(free, _chain_udf(self.medians, self.steps)(F.array(*values)))
+            return filled.withColumns({c: F.col(free)[j] for j, c in enumerate(self.columns)}).select(*[q(c) for c in df.columns])
         maps = {g: _start(g, p, np.array(self.medians, dtype=float)) for g in range(1, 1 << p)}
         for j, coef, shift in self.steps:
             _advance(maps, j, np.array(coef), shift)
@@ -376,6 +411,54 @@ class ChainedImputer:
                                   ).select(*[q(c) for c in df.columns])
 
 
+def _matrix(column: pa.Array, p: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+
+
+def _run(z: np.ndarray, gap: np.ndarray, steps: Sequence[tuple]) -> np.ndarray:
+    """The steps (column, coefficients, constant) in turn, each on the rows with a gap in its column."""
+    z = z.copy()
+    for j, coef, constant in steps:
+        at = gap[:, j]
+        z[at, j] = z[at] @ np.asarray(coef) + constant
+    return z
+
+
+def _grams(done: list[tuple], j: int, p: int):
+    """Second moments of the rows that have column ``j``, after the round's steps so far; one row per task."""
+    def run(batches):
+        total = np.zeros((p + 1, p + 1))
+        for batch in batches:
+            gap = _matrix(batch.column("gap"), p).astype(bool)
+            z = _run(_matrix(batch.column("z"), p), gap, done)[~gap[:, j]]
+            z = np.hstack([z, np.ones((len(z), 1))])
+            total += z.T @ z
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()], pa.list_(pa.float64()))], names=["s"])
+    return run
+
+
+def _advanced(done: list[tuple], p: int):
+    """Rows after a whole round, with the largest change of a fill."""
+    def run(batches):
+        for batch in batches:
+            gap, z = _matrix(batch.column("gap"), p).astype(bool), _matrix(batch.column("z"), p)
+            new = _run(z, gap, done)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(new) + 1) * p, pa.int32()), pa.array(new.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("gap"), lists, pa.array(np.abs(new - z).max(axis=1, initial=0.0))], names=["gap", "z", "moved"])
+    return run
+
+
+def _chain_udf(medians: Sequence[float], steps: Sequence[tuple]):
+    @F.pandas_udf("array<double>")
+    def chained(values: pd.Series) -> pd.Series:
+        if values.empty:
+            return values
+        z = np.array([[np.nan if x is None else x for x in row] for row in values], dtype=float)
+        gap = np.isnan(z)
+        return pd.Series(list(_run(np.where(gap, np.asarray(medians, dtype=float), z), gap, steps)))
+    return chained
+
+
 def _start(gap: int, p: int, fill: np.ndarray) -> np.ndarray:
     m = np.zeros((p, p + 1))
     for i in range(p):

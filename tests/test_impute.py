@@ -70,6 +70,29 @@ def test_chained(spark):
     assert np.allclose(numbers(model.transform(few)), got[:20])
 
 
+@pytest.mark.parametrize("patterns", [1_024, 3])
+def test_chain_of_many_columns(spark, monkeypatch, patterns):
+    monkeypatch.setattr(I, "MOMENT_PATTERNS", patterns)
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(400, 3))
+    y = np.hstack([base, base @ rng.normal(size=(3, 27)) + rng.normal(size=(400, 27)) * 0.01])
+    gap = np.array([[k > 2 and i % 9 in (k % 9, k % 4) for k in range(30)] for i in range(400)])
+    names = [f"c{k}" for k in range(30)]
+    rows = [(i, *[None if g else float(v) for v, g in zip(row, hole)]) for i, (row, hole) in enumerate(zip(y, gap))]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{n} double" for n in names)).repartition(3)
+    model = I.ChainedImputer(names, max_rounds=3).fit(df)
+    got = np.array([[r[n] for n in names] for r in model.transform(df).orderBy("id").collect()])
+    seen = np.where(gap, np.nan, y)
+    z = np.where(gap, np.nanmedian(seen, axis=0), y)
+    for _ in range(model.rounds):
+        for j in [j for j in np.argsort(gap.sum(0), kind="stable") if gap[:, j].any()]:
+            have = np.hstack([z[~gap[:, j]], np.ones(((~gap[:, j]).sum(), 1))])
+            coef, intercept = I._bayes_ridge(have.T @ have, j, 30)
+            z[gap[:, j], j] = z[gap[:, j]] @ coef + intercept
+    assert np.allclose(got[~gap], y[~gap]) and np.allclose(got, z, atol=1e-3)
+    assert np.abs(got - y)[gap].max() < 0.5 < np.abs(np.where(gap, np.nanmedian(seen, axis=0), y) - y).max()
+
+
 def test_bayes_ridge_recovers_a_line():
     x = rng.normal(size=(500, 2))
     y = 3 * x[:, 0] - x[:, 1] + 2 + 0.01 * rng.normal(size=500)
