@@ -17,7 +17,7 @@ GRAMS = (3, 4)
 UNWANTED_SHARE, REGULARISATION = 0.33, 1e-4
 
 # The small labelled table: host names of two words, built per kind of site from the words below.
-# None was taken from a table at hand; the words are those by which such sites are commonly named.
+# The words are those by which such sites are commonly named; a few also stand in hosts of the test pages (see the README).
 UNWANTED = {
     "gambling": ("casino poker slots roulette blackjack jackpot betting wager gambling bingo", "online bonus royal vegas palace spins lucky 777 king club"),
     "pharmacy": ("viagra cialis pills pharma meds xanax tramadol steroids diet slimming", "discount shop store order canadian express generic rx 24 direct"),
