@@ -41,6 +41,25 @@ def split_sizes(read):
     return rows.groupBy("split", "o_orderstatus").agg(F.count("*").alias("n"))
 
 
+def _exact_quota_sql(source: str, draws: str, out: str) -> str:
+    """Class quotas by largest remainder in whole numbers over a table (c, n)."""
+    return f"""(SELECT c, n, total, f + CASE WHEN row_number() OVER (ORDER BY r DESC, CAST(c AS VARCHAR)) <= {draws} - sum(f) OVER () THEN 1 ELSE 0 END AS {out}
+FROM (SELECT c, n, total, (n * {draws}) % total AS r, (n * {draws}) // total AS f FROM (SELECT *, CAST(sum(n) OVER () AS BIGINT) AS total FROM {source})))"""
+
+
+@query("split_per_customer", f"""
+WITH counts AS (SELECT o_custkey AS c, count(*) AS n FROM orders GROUP BY 1),
+rest AS (SELECT c, n, CAST(q AS BIGINT) AS n2 FROM {_exact_quota_sql('counts', '(total - CAST(ceil(0.15::DOUBLE * total) AS BIGINT))', 'q')}),
+kept AS (SELECT c, q FROM {_exact_quota_sql('(SELECT c, n2 AS n FROM rest)',
+         '(total - CAST(ceil(0.15::DOUBLE / (0.7::DOUBLE + 0.15::DOUBLE) * total) AS BIGINT))', 'q')}),
+placed AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY {hash_sql('o_orderkey', 42, 'split')}, o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, o_custkey, CASE WHEN rn <= n - n2 THEN 'test' WHEN rn <= n - q THEN 'val' ELSE 'train' END AS split
+FROM placed JOIN rest ON rest.c = o_custkey JOIN kept ON kept.c = o_custkey""")
+def split_per_customer(read):
+    """A class per customer: as many classes as the table has, quotas and cut points as tables."""
+    return stratified_split(read("orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], "o_custkey", min_per_class=1)
+
+
 @query("kfold_assign", f"""
 SELECT event_id, CAST(CASE WHEN rn <= n // 3 + CASE WHEN n % 3 > 0 THEN 1 ELSE 0 END THEN 0
   WHEN rn <= 2 * (n // 3) + least(n % 3, 2) THEN 1 ELSE 2 END AS INTEGER) AS fold
