@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabloom.catalog.base import hash_sql, miss, miss_sql, query
+from tabloom.functions import text as tx
 from tabloom.operators.encode import Preprocessor, standardize
 from tabloom.operators.impute import ChainedImputer, GroupDrawImputer, KnnImputer, MedianImputer
 from tabloom.operators.levels import fit_levels, level_codes, one_hot
@@ -205,6 +206,27 @@ def many_levels(read):
     return told.select("l_orderkey", "l_linenumber", "ord__order", "ord__pair", "ord__flag", F.col("features").cast("string").alias("features"))
 
 
+@query("encode_many_levels", """
+WITH t AS (SELECT l_orderkey, l_linenumber, l_quantity, CAST(l_orderkey AS VARCHAR) AS a, l_partkey::VARCHAR || '/' || l_suppkey::VARCHAR AS b, CASE WHEN l_partkey % 3 <> 0 THEN l_returnflag END AS c FROM lineitem),
+f AS (SELECT * FROM t WHERE l_linenumber <= 4),
+a AS (SELECT a, row_number() OVER (ORDER BY a::DOUBLE) AS code FROM (SELECT DISTINCT a FROM f)), b AS (SELECT b, row_number() OVER (ORDER BY b) - 1 AS code FROM (SELECT DISTINCT b FROM f)),
+n AS (SELECT count(*) AS nb FROM b)
+SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS num_passthrough__l_quantity, CAST(coalesce(a.code, -1) AS INTEGER) AS ord__order,
+    '(' || nb || ',[' || coalesce(b.code::VARCHAR, '') || '],[' || if(b.code IS NULL, '', '1.0') || '])' AS cat__pair,
+    CAST(c IS NULL AS INTEGER) AS flag_missing, CAST(coalesce(c = 'R', false) AS INTEGER) AS flag_r
+FROM t CROSS JOIN n LEFT JOIN a ON t.a = a.a LEFT JOIN b ON t.b = b.b""")
+def encode_many_levels(read):
+    """The preprocessor over columns with more levels than its expressions take: tables of levels, joined."""
+    rows = read("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.col("l_orderkey").cast("string").alias("order"),
+                                   F.concat(F.col("l_partkey").cast("string"), F.lit("/"), F.col("l_suppkey").cast("string")).alias("pair"),
+                                   F.when(F.col("l_partkey") % 3 != 0, F.col("l_returnflag")).alias("flag"))
+    model = Preprocessor(["l_quantity", "order", "pair", "flag"], ordinal={"order": None}, max_levels=100).fit(rows.where("l_linenumber <= 4"))
+    told = model.transform(rows, keep=["l_orderkey", "l_linenumber"])
+    missing = next(n for n in model.names() if n.startswith("cat__flag_") and n[len("cat__flag_"):] == tx.MISSING_LEVEL)
+    return told.select("l_orderkey", "l_linenumber", "num_passthrough__l_quantity", "ord__order", F.col("cat__pair").cast("string").alias("cat__pair"),
+                       F.col(f"`{missing}`").alias("flag_missing"), F.col("cat__flag_R").alias("flag_r"))
+
+
 @query("standardize", """
 SELECT l_orderkey, l_linenumber, round((l_quantity - m1) / s1, 5) AS l_quantity, round((l_extendedprice - m2) / s2, 5) AS l_extendedprice
 FROM lineitem, (SELECT avg(l_quantity) AS m1, stddev_pop(l_quantity) AS s1, avg(l_extendedprice) AS m2, stddev_pop(l_extendedprice) AS s2 FROM lineitem)""")

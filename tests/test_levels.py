@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabloom.functions import text as tx
+from tabloom.operators.encode import Preprocessor, assemble, levels_by_column
 from tabloom.operators.levels import fit_levels, level_codes, one_hot
 
 ROWS = [(i, "hot" if i % 3 else f"w{i % 40}", None if i % 11 == 0 else str(i % 25 - 4), " " if i % 7 == 0 else f"{i % 5}") for i in range(400)]
@@ -49,3 +50,28 @@ def test_empty_and_unknown(spark):
     none = fit_levels(df.limit(0), ["v"])
     assert none.sizes == {"v": 0} and {r["ord__v"] for r in level_codes(df, none).collect()} == {-1}
     assert level_codes(df.limit(0), fit_levels(df, ["v"])).count() == 0
+
+
+@pytest.mark.parametrize("lexical", [False, True])
+def test_preprocessor_of_many_levels(spark, lexical):
+    """Levels as tables give the codes and places that levels as expressions give."""
+    df = spark.createDataFrame(ROWS, "k int, word string, num string, blank string").repartition(3)
+    train = df.where("k < 200 and num is not null")
+    given = {"num": None, "blank": ["4", "1"]}
+    few = Preprocessor(["k", "word", "num", "blank"], ordinal=given, lexical=lexical).fit(train)
+    many = Preprocessor(["k", "word", "num", "blank"], ordinal=given, lexical=lexical, max_levels=7).fit(train)
+    assert set(many.wide) == {"word", "num"} and many.names() == ["num_passthrough__k", "ord__num", "ord__blank", "cat__word"]
+    got = assemble(many.transform(df, keep=["k"]), many.names()).select("k", "ord__num", "ord__blank", "features")
+    want = assemble(few.transform(df, keep=["k"]), few.names()).select("k", "ord__num", "ord__blank", "features")
+    assert {r["k"]: (r["ord__num"], r["ord__blank"], r["features"].toArray().tolist()) for r in got.collect()} == {
+        r["k"]: (r["ord__num"], r["ord__blank"], r["features"].toArray().tolist()) for r in want.collect()}
+
+
+def test_levels_by_column_bound(spark):
+    df = spark.range(30).select(F.col("id").cast("string").alias("a"), (F.col("id") % 2).cast("string").alias("b"))
+    columns = {"a": F.col("a"), "b": F.col("b")}
+    for limit in (5, 20):
+        found = levels_by_column(df, columns, limit, refuse=False)
+        assert found["a"] is None and sorted(found["b"]) == ["0", "1"]
+        with pytest.raises(ValueError, match="'a'"):
+            levels_by_column(df, columns, limit)
