@@ -134,6 +134,25 @@ def crosstab_props(read):
     return TB.crosstab(read("lineitem"), "l_returnflag", "l_linestatus", proportions=True, digits=4)
 
 
+@query("contingency_cells", """
+SELECT l_partkey, l_suppkey, count(*) AS "count", CAST(sum(count(*)) OVER (PARTITION BY l_partkey) AS BIGINT) AS row_total,
+       CAST(sum(count(*)) OVER (PARTITION BY l_suppkey) AS BIGINT) AS column_total,
+       round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY l_partkey), 6) AS row_share FROM lineitem GROUP BY 1, 2""")
+def contingency_cells(read):
+    """Parts by suppliers: too many levels for columns, so every cell is a row with both margins."""
+    return TB.contingency(read("lineitem"), "l_partkey", "l_suppkey", digits=6)
+
+
+@query("crosstab_heavy", """
+WITH h AS (SELECT l_suppkey AS k, row_number() OVER (ORDER BY count(*) DESC, l_suppkey) AS pos FROM lineitem GROUP BY 1)
+SELECT l_returnflag, count(*) FILTER (pos <= 3) AS heavy, count(*) FILTER (pos > 3) AS "(other)" FROM lineitem JOIN h ON k = l_suppkey GROUP BY 1""")
+def crosstab_heavy(read):
+    """The three suppliers with the most lines have columns (added up here), the others share one."""
+    grid = TB.crosstab(read("lineitem"), "l_returnflag", "l_suppkey", limit=3)
+    heavy = [F.col(f"`{c}`") for c in grid.columns if c not in ("l_returnflag", "(other)")]
+    return grid.select("l_returnflag", (heavy[0] + heavy[1] + heavy[2]).alias("heavy"), "(other)")
+
+
 EVENTS = f"SELECT CAST(day(ts) AS BIGINT) AS day, event_type, {miss_sql('event_id', 'value')} AS value FROM events"
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.columns import q
 from tabloom.operators.joins import keep_first, with_share
-from tabloom.session import small_table
+from tabloom.session import broadcast_if_small, cut_lineage, small_table
 
 MAX_PIVOT_LEVELS = 10_000
 
@@ -33,18 +33,55 @@ def levels_of(df: DataFrame, column: str, limit: int = MAX_PIVOT_LEVELS) -> list
 
 
 def crosstab(df: DataFrame, rows: str, columns: str, proportions: bool = False,
-             digits: int | None = None) -> DataFrame:
-    """Contingency table with one column per level of ``columns``; optionally row shares."""
-    levels = [str(v) for v in levels_of(df, columns)]
-    grid = (df.select(q(rows), q(columns).cast("string").alias("_level")).groupBy(q(rows))
-            .pivot("_level", levels).count().na.fill(0))
+             digits: int | None = None, limit: int = MAX_PIVOT_LEVELS, other: str = "(other)") -> DataFrame:
+    """Contingency table with one column per level of ``columns``; optionally row shares.
+
+    Of more levels than ``limit`` the most frequent have a column (ties: the smaller level), and
+    all others are counted in ``other``, so that rows still add up; ``contingency`` has every cell.
+    """
+    heavy = heavy_levels(df, columns, limit)
+    levels = sorted(heavy[0])
+    text, names = q(columns).cast("string"), [str(v) for v in levels]
+    if heavy[1]:
+        while other in names:
+            other += "_"
+        text = F.when(q(columns).isin(levels), text).when(q(columns).isNotNull(), other)
+        names.append(other)
+    grid = (df.select(q(rows), text.alias("_level")).groupBy(q(rows))
+            .pivot("_level", names).count().na.fill(0, subset=names))
     if not proportions:
         return grid
-    total = reduce(lambda a, b: a + b, [q(v) for v in levels])
-    share = {v: (q(v) / total if digits is None else F.round(q(v) / total, digits)) for v in levels}
+    total = reduce(lambda a, b: a + b, [q(v) for v in names])
+    share = {v: (q(v) / total if digits is None else F.round(q(v) / total, digits)) for v in names}
     return grid.select(q(rows), *[c.alias(v) for v, c in share.items()])
 
 
+def heavy_levels(df: DataFrame, column: str, limit: int) -> tuple[list, bool]:
+    """At most ``limit`` non-null values with the most rows, and whether there are others."""
+    counts = df.filter(q(column).isNotNull()).groupBy(q(column).alias("v")).agg(F.count("*").alias("n"))
+    top = counts.orderBy(F.desc("n"), "v").limit(limit + 1).collect()
+    return [r["v"] for r in top[:limit]], len(top) > limit
+
+
+def contingency(df: DataFrame, rows: str, columns: str, digits: int | None = None) -> DataFrame:
+    """Every cell that occurs, whatever the number of levels: both levels, count, row_total, column_total, row_share.
+
+    Nulls have no cell. Cells are counted before the shuffle and stored; the margins are
+    aggregates of the cells that are joined back, a small one as a broadcast, so a level with
+    cells beyond any task's memory is no problem either way: Spark splits the cells of a large one.
+    """
+    names = [rows, columns, "count"]
+    cells = cut_lineage(df.filter(q(rows).isNotNull() & q(columns).isNotNull())
+                        .groupBy(q(rows).alias("u"), q(columns).alias("v")).agg(F.count("*").alias("n")))
+    out = cells
+    for side, total in (("u", "row_total"), ("v", "column_total")):
+        margin = cells.groupBy(side).agg(F.sum("n").alias(total))
+        out = out.join(broadcast_if_small(margin), side)
+    share = F.col("n") / F.col("row_total")
+    share = share if digits is None else F.round(share, digits)
+    return out.select("u", "v", "n", "row_total", "column_total", share.alias("row_share")).toDF(*names, "row_total", "column_total", "row_share")
+
+
 def domain_counts(df: DataFrame, column: str, domain: Sequence) -> DataFrame:
     """Counts over a fixed domain; levels that do not occur get 0."""
     kind = df.schema[column].dataType.simpleString()
