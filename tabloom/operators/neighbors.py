@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -25,6 +26,8 @@ LEAF_POINTS = 32
 MAX_BITS, QUANTILE_BITS = 24, 10
 # Levels at which boxes are listed, in bits per dimension.
 LEVELS = [1, 2, 3, 4, 6, 8, 10, 12, 16, 20]
+# A box that more queries than this reach, and than 1 / CROWDS of all, is dealt to several tasks; so there are at most CROWDS.
+CROWD_ROWS, CROWDS = 100_000, 2_000
 # Rounding slack of a pruning comparison; only ever keeps a box too many.
 SLACK = 1e-9
 DEGREE_KM = 111.0
@@ -66,7 +69,7 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], order: S
         if above is None:
             # At most 2^(level x d) boxes per group: constants, or a list that is small by construction.
             if group:
-                candidates = qs.join(F.broadcast(boxes), "_g")
+                candidates = tree.joined(qs, boxes, ["_g"], ident)
             else:
                 names = [c for c in boxes.columns if c != "_g"]
                 roots = [F.struct(*[F.lit(b[c]).cast(boxes.schema[c].dataType).alias(c) for c in names])
@@ -76,9 +79,11 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], order: S
                 candidates = qs.withColumn("_b", F.explode(F.array(*roots))).filter(
                     F.col("_b").isNotNull()).select("*", "_b.*").drop("_b")
         else:
-            candidates = candidates.select(*ident, *tree.renamed("p")).join(tree.hint(boxes), tree.key("p"))
+            candidates = tree.joined(candidates.select(*ident, *tree.renamed("p")), boxes, tree.key("p"), ident)
         candidates = _prune(candidates, ident, tree.key("c"), d, k)
-    pairs = candidates.select(*ident, *tree.key("c")[1:]).join(tree.points(), tree.key("c"))
+    last = candidates.select(*ident, *tree.key("c")[1:])
+    pairs = (last.join(F.broadcast(tree.points()), tree.key("c")) if tree.few_points
+             else dealt_join(last, tree.points(), tree.key("c"), ident))
     d2 = sum((F.pow(F.col(f"x{i}") - F.col(f"y{i}"), 2) for i in range(d)), F.lit(0.0))
     pairs = pairs.select(*ident, d2.alias("d2"), "_o", "_w", *[f"y{i}" for i in range(d)])
     if radius:
@@ -112,7 +117,7 @@ class _BoxTree:
     """
 
     def __init__(self, pts: DataFrame, source: DataFrame, d: int, leaf_points: int, max_broadcast: int):
-        self.d = d
+        self.d, self.max_broadcast = d, max_broadcast
         pts = cut_lineage(pts)
         n = pts.count()
         self.bits = min(MAX_BITS, max(2, math.ceil(math.log2(max(n / leaf_points, 2))) + 2))
@@ -173,7 +178,33 @@ class _BoxTree:
         placed = self.pts.join(self.hint(stops), ["_g", *[f"c{i}" for i in range(self.d)]])
         out = placed.select("_g", "_w", "_o", *[f"y{i}" for i in range(self.d)], *self._at(self.bits, "b"))
         out = out.withColumnsRenamed(dict(zip(self.key("b")[1:], self.key("c")[1:])))
-        return F.broadcast(out) if self.few_points else out
+        return out
+
+    def joined(self, queries: DataFrame, boxes: DataFrame, key: list[str], ident: list[str]) -> DataFrame:
+        """Queries with the boxes below theirs. A list of boxes that passes the size check is broadcast, whatever the next levels' are."""
+        if self.small or fits(boxes, self.max_broadcast):
+            return queries.join(F.broadcast(boxes), key)
+        return dealt_join(queries, boxes, key, ident)
+
+
+def dealt_join(queries: DataFrame, table: DataFrame, key: Sequence[str], ident: Sequence[str]) -> DataFrame:
+    """Inner join on ``key`` where many queries may share one: the rows of a crowded key are copied, and a
+    query meets the copy that a hash of ``ident`` gives, so no task has more than a copy's share.
+
+    Copies are as many as a key's queries need; other keys have one. The counts of crowded keys are
+    a bounded list, hence a broadcast.
+    """
+    key = list(key)
+    queries = cut_lineage(queries)
+    share = max(CROWD_ROWS, queries.count() // CROWDS)
+    crowded = cut_lineage(queries.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > share)
+                          .select(*key, F.ceil(F.col("_n") / share).cast("int").alias("_copies")))
+    if crowded.isEmpty():
+        return queries.join(table, key)
+    copies = F.coalesce("_copies", F.lit(1))
+    spread = queries.join(F.broadcast(crowded), key, "left").withColumn("_copy", F.pmod(F.xxhash64(*ident), copies).cast("int")).drop("_copies")
+    copied = table.join(F.broadcast(crowded), key, "left").withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1))).drop("_copies")
+    return spread.join(copied, [*key, "_copy"]).drop("_copy")
 
 
 def _coded(pts: DataFrame, source: DataFrame, d: int, bits: int) -> DataFrame:
@@ -260,9 +291,28 @@ def nearest_capped(left: DataFrame, right: DataFrame, left_xy: tuple[str, str],
                        F.col("near__y").alias("_ry"), F.col("near__x").alias("_rx"))
     near = near.join(details, (F.col("_ry") == q(prefix + ry)) & (F.col("_rx") == q(prefix + rx))).drop("_ry", "_rx")
     near = cut_lineage(near.withColumnsRenamed({"_y": "_hy", "_x": "_hx", "_reach": "_hr"}))
-    if fits(near, max_broadcast):
-        near = F.broadcast(near)
     match = ((q(ly).cast("double") == F.col("_hy")) & (q(lx).cast("double") == F.col("_hx"))
              & (F.col("_cap") / DEGREE_KM == F.col("_hr")) & (q(distance) <= F.col("_cap").cast("float")))
-    joined = rows.filter(located).join(near, match, "left").drop("_hy", "_hx", "_hr", "_cap")
+    joined = _joined_back(rows.filter(located), near, match, (q(ly).cast("double"), q(lx).cast("double"), F.col("_cap") / DEGREE_KM), max_broadcast)
+    joined = joined.drop("_hy", "_hx", "_hr", "_cap")
     return joined.unionByName(rows.filter(~located).drop("_cap"), allowMissingColumns=True)
+
+
+def _joined_back(rows: DataFrame, near: DataFrame, match: Column, place: Sequence[Column], max_broadcast: int) -> DataFrame:
+    """Rows with what was found for their place. Rows of crowded places, a bounded list, go around the shuffle."""
+    if fits(near, max_broadcast):
+        return rows.join(F.broadcast(near), match, "left")
+    names = ["_py", "_px", "_pr"]
+    counts = cut_lineage(rows.groupBy(*[c.alias(n) for c, n in zip(place, names)]).agg(F.count("*").alias("_n")))
+    share = max(CROWD_ROWS, (counts.agg(F.sum("_n")).first()[0] or 0) // CROWDS)
+    crowded = cut_lineage(counts.filter(F.col("_n") > share).select(*names))
+    if crowded.isEmpty():
+        return rows.join(near, match, "left")
+
+    def at(columns: Sequence[Column]) -> Column:
+        return reduce(lambda a, b: a & b, [c == F.col(n) for c, n in zip(columns, names)])
+
+    known = near.join(F.broadcast(crowded), at([F.col(c) for c in ("_hy", "_hx", "_hr")]), "left_semi")
+    inside = rows.join(F.broadcast(crowded), at(place), "left_semi").join(F.broadcast(known), match, "left")
+    outside = rows.join(F.broadcast(crowded), at(place), "left_anti").join(near, match, "left")
+    return inside.unionByName(outside)

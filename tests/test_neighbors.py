@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tabloom.operators import neighbors as NB
 from tabloom.operators.neighbors import area_cap, nearest_capped
 
 
@@ -21,8 +22,9 @@ def brute(left, right, caps):
     return out
 
 
-@pytest.mark.parametrize("leaf, broadcast", [(32, 200_000), (2, 0)])
-def test_equals_full_comparison(spark, leaf, broadcast):
+@pytest.mark.parametrize("leaf, broadcast, crowd", [(32, 200_000, 100_000), (2, 0, 100_000), (4, 0, 5), (8, 40, 5)])
+def test_equals_full_comparison(spark, monkeypatch, leaf, broadcast, crowd):
+    monkeypatch.setattr(NB, "CROWD_ROWS", crowd)
     rng = np.random.default_rng(0)
     left = pd.DataFrame({"id": range(400), "lat": rng.normal(0, 0.02, 400).round(3), "lng": rng.normal(0, 0.02, 400).round(3),
                          "b": rng.choice(["Bronx", "Manhattan", "elsewhere"], 400)})
@@ -75,3 +77,47 @@ def test_odd_coordinates_match_nothing(spark):
     right = spark.createDataFrame([(7, 40.001, -73.0), (8, nan, nan), (9, 40.0, inf)], "k int, ry double, rx double")
     got = nearest_capped(left, right, ("y", "x"), ("ry", "rx"), ["k"], F.lit(5.0)).collect()
     assert {r["id"]: r["FARS__k"] for r in got} == {1: 7, 2: None, 3: None, 4: None}
+
+
+def test_crowded_key_is_dealt(spark, monkeypatch):
+    """90 % of the queries at one key: its rows are copied and every pair is found once."""
+    monkeypatch.setattr(NB, "CROWD_ROWS", 100)
+    queries = spark.range(5_000).select(F.col("id").alias("x0"), F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id")).alias("box"))
+    table = spark.createDataFrame([(1, "a"), (1, "b"), (19, "c"), (29, None)], "box bigint, o string")
+    out = NB.dealt_join(queries, table, ["box"], ["x0"])
+    got = sorted((r["x0"], r["box"], r["o"] or "") for r in out.collect())
+    assert got == sorted([*[(i, 1, o) for i in range(5_000) if i % 10 < 9 for o in "ab"], (19, 19, "c"), (29, 29, "")])
+    monkeypatch.setattr(NB, "CROWDS", 2)
+    assert sorted((r["x0"], r["box"], r["o"] or "") for r in NB.dealt_join(queries, table, ["box"], ["x0"]).collect()) == got
+    assert NB.dealt_join(queries, table.limit(0), ["box"], ["x0"]).isEmpty()
+
+
+def test_copies_lie_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(NB, "CROWD_ROWS", 100)
+    plain = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in plain}
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        queries = spark.range(5_000).select(F.col("id").alias("x0"), F.lit(1).cast("bigint").alias("box"))
+        out = NB.dealt_join(queries, spark.range(1, 2).toDF("box"), ["box"], ["x0"])
+        held = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(held) == 5_000 and len(held) > 1 and max(held) < 2_000
+
+
+@pytest.mark.parametrize("crowd", [100_000, 30])
+def test_rows_of_one_place(spark, monkeypatch, crowd):
+    """Nine of ten rows share a place, some have a null or unknown one: each row comes back once."""
+    monkeypatch.setattr(NB, "CROWD_ROWS", crowd)
+    left = spark.range(600).select("id", F.when(F.col("id") % 10 < 9, 0.5).when(F.col("id") % 20 == 9, F.col("id") * 1e-3).alias("lat"),
+                                   F.lit(0.25).alias("lng"), F.when(F.col("id") % 2 == 0, 1.2).alias("cap"))
+    right = spark.createDataFrame([(3, 0.5, 0.25), (4, 0.5, 0.251), (5, 0.409, 0.25)], "rid int, rlat double, rlng double")
+    out = nearest_capped(left, right, ("lat", "lng"), ("rlat", "rlng"), ["rid"], F.col("cap"), max_broadcast=0)
+    got = {r["id"]: r["FARS__rid"] for r in out.collect()}
+    assert out.count() == len(got) == 600
+    want = nearest_capped(left, right, ("lat", "lng"), ("rlat", "rlng"), ["rid"], F.col("cap"))
+    assert got == {r["id"]: r["FARS__rid"] for r in want.collect()}
+    assert got[0] == 3 and got[1] is None and got[19] is None
