@@ -206,12 +206,13 @@ def rank_splits(df: DataFrame, columns: Sequence[str], rows: int, rows_per_bucke
 
 def value_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
                 flags: Mapping[str, Column] | None = None,
-                rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                rows_per_bucket: int = ROWS_PER_BUCKET, flags_before: bool = False) -> DataFrame:
     """Rank table: ``*by, column, value, n, *flags, before``.
 
     ``before`` counts the non-null values of the same column (and group) below ``value``;
     ``n`` counts the value itself and every flag the rows where it holds. The average
-    rank of a value is ``before + (n + 1) / 2``.
+    rank of a value is ``before + (n + 1) / 2``. With ``flags_before`` the same is counted over
+    the rows of each flag alone, as ``before_<flag>``.
     """
     columns, by, flags = list(columns), list(by), dict(flags or {})
     names = [f"v{i}" for i in range(len(columns))]
@@ -237,19 +238,20 @@ def value_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
               .agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags]))
     inside = (Window.partitionBy(*by, "column", "bucket").orderBy("value")
               .rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.withColumn("before", F.sum("n").over(inside) - F.col("n"))
+    below = {"before": "n"} | ({f"before_{f}": f for f in flags} if flags_before else {})
+    ranked = counts.withColumns({c: F.sum(n).over(inside) - F.col(n) for c, n in below.items()})
     if bucketed:
         earlier = (Window.partitionBy(*by, "column").orderBy("bucket")
                    .rowsBetween(Window.unboundedPreceding, -1))
-        offsets = (long.groupBy(*by, "column", "bucket").agg(F.count("*").alias("in_bucket"))
-                   .withColumn("offset", F.coalesce(F.sum("in_bucket").over(earlier), F.lit(0)))
-                   .drop("in_bucket"))
+        held = {c: F.count("*") if n == "n" else F.sum(n) for c, n in below.items()}
+        offsets = (long.groupBy(*by, "column", "bucket").agg(*[v.alias(f"in_{c}") for c, v in held.items()])
+                   .select(*by, "column", "bucket", *[F.coalesce(F.sum(f"in_{c}").over(earlier), F.lit(0)).alias(f"offset_{c}") for c in below]))
         match = [ranked[k].eqNullSafe(offsets[k]) for k in by]
         match += [ranked[k] == offsets[k] for k in ("column", "bucket")]
         joined = ranked.join(offsets, match, "inner")
         ranked = joined.select(*[ranked[k] for k in by], ranked["column"], ranked["bucket"], ranked["value"],
                                ranked["n"], *[ranked[f] for f in flags],
-                               (ranked["before"] + offsets["offset"]).alias("before"))
+                               *[(ranked[c] + offsets[f"offset_{c}"]).alias(c) for c in below])
     return ranked.drop("bucket")
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,46 +35,77 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str], key: Sequence[str],
                     rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Rank correlation of every pair over the rows where both are present.
 
-    A column is ranked once for each set of partners that removes the same rows: once in
-    all for partners without nulls, and once per partner with nulls. The ranks go back
-    to the rows by value (a small rank table is broadcast, a large one is shuffled with
-    the frequent values split off), then one aggregate takes all correlations.
+    Each value of a column gets one rank over all its rows, and one over the rows where each
+    column with nulls is present; so a row carries an entry per column, not one per pair. The
+    ranks go back to the rows by value (a small rank table is broadcast, a large one is shuffled
+    with the frequent values split off), and the tasks return one sum per pair.
     """
     columns, key = list(columns), list(key)
+    p = len(columns)
     narrow = df.select(*[q(k) for k in key], *[number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
-    n = narrow.agg(F.count("*").alias("rows"), *[F.count(f"c{i}").alias(f"n{i}") for i in range(len(columns))]).first()
-    partial = {i for i in range(len(columns)) if n[f"n{i}"] < n["rows"]}
-
-    def context(i: int, j: int) -> str:
-        return f"x{i}_{j}" if j in partial else f"x{i}_"
-
-    contexts = sorted({context(i, j) for i in range(len(columns)) for j in range(len(columns)) if i != j})
-    added = {}
-    for name in contexts:
-        i, j = name[1:].split("_")
-        v = F.col(f"c{i}")
-        added[name] = v if not j else F.when(F.col(f"c{j}").isNotNull(), v)
-    values = narrow.select(*[q(k) for k in key], *[v.alias(name) for name, v in added.items()])
-    ranks = cut_lineage(value_ranks(values, contexts, rows_per_bucket=rows_per_bucket)
-                        .select("column", "value", "n", average_rank().alias("rank")))
-    long = (values.select(*key, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in contexts])).alias("e"))
-        .select(*key, "e.*").filter(F.col("value").isNotNull())
-        .withColumn("value", F.col("value") + F.lit(0.0)))
+    n = narrow.agg(F.count("*").alias("rows"), *[F.count(f"c{i}").alias(f"n{i}") for i in range(p)]).first()
+    # Place of a partner in a value's list of ranks: partners without nulls share the first.
+    place, flags = [0] * p, {}
+    for i in range(p):
+        if n[f"n{i}"] < n["rows"]:
+            flags[f"p{len(flags)}"] = F.col(f"c{i}").isNotNull()
+            place[i] = len(flags)
+    names = [f"c{i}" for i in range(p)]
+    table = value_ranks(narrow, names, flags=flags, rows_per_bucket=rows_per_bucket, flags_before=True)
+    lists = [("n", "before"), *[(f, f"before_{f}") for f in flags]]
+    ranks = cut_lineage(table.select("column", "value", "n", F.array(*[F.col(m) for m, _ in lists]).alias("sizes"),
+                                     F.array(*[F.col(b) + (F.col(m) + 1) / 2 for m, b in lists]).alias("rank")))
+    sizes = {r["column"]: list(r)[1:] for r in ranks.groupBy("column").agg(
+        *[F.sum(F.col("sizes")[t]).alias(f"s{t}") for t in range(len(lists))]).collect()}
+    both = np.array([[sizes[c][place[j]] if c in sizes else 0 for j in range(p)] for c in names], dtype=float)
+    long = (narrow.select(*key, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in names])).alias("e"))
+            .select(*key, "e.*").filter(F.col("value").isNotNull()).withColumn("value", F.col("value") + F.lit(0.0)))
     ranked = rank_lookup(long, ranks, key, n["rows"])
-    wide = ranked.groupBy(*key).agg(*[F.max(F.when(F.col("column") == c, F.col("rank"))).alias(c)
-                                      for c in contexts])
-    pairs = list(combinations(range(len(columns)), 2))
-    row = wide.agg(*[F.corr(context(i, j), context(j, i)).alias(f"r{k}") for k, (i, j) in enumerate(pairs)])
-    parts = []
-    for k, (i, j) in enumerate(pairs):
-        for a, b in ((i, j), (j, i)):
-            parts.append(F.struct(F.lit(columns[a]).alias("a"), F.lit(columns[b]).alias("b"),
-                                  F.col(f"r{k}").alias("rho")))
-    for i, c in enumerate(columns):
-        one = 1.0 if n[f"n{i}"] else None
-        parts.append(F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(one).cast("double").alias("rho")))
-    return row.select(F.explode(F.array(*parts)).alias("e")).select("e.*")
+    at = F.substring("column", 2, 9).cast("int").alias("i")
+    rows = ranked.groupBy(*key).agg(F.collect_list(F.struct(at, F.col("rank").alias("r"))).alias("e")).select("e")
+    found = {(r["i"], r["j"]): (r["xy"], r["xx"]) for r in rows.mapInArrow(_rank_products(both, place), "i int, j int, xy double, xx double")
+             .groupBy("i", "j").agg(F.sum("xy").alias("xy"), F.sum("xx").alias("xx")).collect()}
+    out = []
+    for i, j in ((i, j) for i in range(p) for j in range(p)):
+        xy, scale = found.get((i, j), (0.0, 0.0))[0], found.get((i, j), (0.0, 0.0))[1] * found.get((j, i), (0.0, 0.0))[1]
+        rho = xy / math.sqrt(scale) if scale > 0 else None
+        out.append((columns[i], columns[j], (1.0 if n[f"n{i}"] else None) if i == j else rho))
+    return small_table(df.sparkSession, out, "a string, b string, rho double")
+
+
+# Doubles that one step of the rank products takes.
+CUBE = 4_000_000
+
+
+def _rank_products(both: np.ndarray, place: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums over rows of (rank of i - mean) x (rank of j - mean), and of the first one's square, among the rows with both.
+
+    A row is the list of (column, its ranks by partner) of its non-null columns; the mean rank of
+    m rows is (m + 1) / 2, ties or not.
+    """
+    p = len(place)
+    middle = (both + 1) / 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        xy, xx = np.zeros((p, p)), np.zeros((p, p))
+        step = max(1, CUBE // (p * p))
+        for batch in batches:
+            for start in range(0, batch.num_rows, step):
+                part = batch.column(0).slice(start, step)
+                entries = part.flatten()
+                row = np.repeat(np.arange(len(part)), pc.list_value_length(part).to_numpy(zero_copy_only=False))
+                ranks = entries.field("r").flatten().to_numpy(zero_copy_only=False).reshape(len(entries), -1)
+                cube = np.full((len(part), p, p), np.nan)
+                cube[row, entries.field("i").to_numpy(zero_copy_only=False)] = ranks[:, place] - middle[entries.field("i").to_numpy(zero_copy_only=False)]
+                other = cube.transpose(0, 2, 1)
+                here = ~(np.isnan(cube) | np.isnan(other))
+                mine = np.where(here, cube, 0.0)
+                xy += (mine * np.where(here, other, 0.0)).sum(axis=0)
+                xx += (mine * mine).sum(axis=0)
+        i, j = (a.ravel().astype(np.int32) for a in np.indices((p, p)))
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(xy.ravel()), pa.array(xx.ravel())], names=["i", "j", "xy", "xx"])
+
+    return run
 
 
 def rank_lookup(long: DataFrame, ranks: DataFrame, key: Sequence[str], rows: int,

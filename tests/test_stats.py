@@ -4,6 +4,7 @@ import math
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,30 @@ def test_spearman_with_gaps(spark):
             assert r["rho"] == pytest.approx(rho(cols[r["a"]], cols[r["b"]]))
 
 
+def test_spearman_of_thirty_columns_with_gaps(spark):
+    """Every column has its own gaps, so every pair has ranks of its own."""
+    rng = np.random.default_rng(8)
+    table = (rng.normal(size=(400, 1)) + rng.normal(size=(400, 30))).round(1)
+    table[rng.random(table.shape) < 0.15] = np.nan
+    table[:, 29] = np.nan
+    table[:, 28] = 3.0
+    names = [f"n{i}" for i in range(30)]
+    rows = [(k, *[None if np.isnan(v) else float(v) for v in r]) for k, r in enumerate(table)]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{n} double" for n in names))
+    want = pd.DataFrame(table, columns=names).corr("spearman", min_periods=1)
+    got = S.spearman_matrix(df, names, ["id"]).collect()
+    assert len(got) == 900
+    for r in got:
+        if r["a"] == r["b"]:
+            assert r["rho"] == (None if r["a"] == "n29" else 1.0)
+        elif np.isnan(want.loc[r["a"], r["b"]]):
+            assert r["rho"] is None
+        else:
+            assert r["rho"] == pytest.approx(want.loc[r["a"], r["b"]])
+    empty = S.spearman_matrix(df.limit(0), ["n0", "n1"], ["id"]).collect()
+    assert len(empty) == 4 and all(r["rho"] is None for r in empty)
+
+
 def test_rank_lookup_splits_frequent_values(spark):
     long = spark.range(3000).select("id", F.lit("c").alias("column"), F.when(F.col("id") % 3 > 0, 1.0).otherwise(F.col("id") * 1.0).alias("value"))
     ranks = long.groupBy("column", "value").agg(F.count("*").alias("n")).withColumn("rank", F.col("value") * 2)
