@@ -75,3 +75,17 @@ def test_levels_by_column_bound(spark):
         assert found["a"] is None and sorted(found["b"]) == ["0", "1"]
         with pytest.raises(ValueError, match="'a'"):
             levels_by_column(df, columns, limit)
+
+
+def test_vectors_keep_no_name_per_level(spark):
+    """The driver holds the sizes of the columns, not a name for each level; small vectors are dense as MLlib has them."""
+    df = spark.range(0, 50_000, 1, 4).select("id", F.col("id").cast("string").alias("v"), (F.col("id") % 2).cast("string").alias("w"))
+    for dictionary, size in ((fit_levels(df, ["v", "w"]), 50_002), (fit_levels(df, ["w"]), 2)):
+        told = one_hot(level_codes(df, dictionary), dictionary, also=["id"])
+        assert len(told.schema["features"].json()) < 1_000
+        row = told.where("id = 7").first()["features"]
+        assert row.size == 1 + size and row.toArray().nonzero()[0].tolist() == ([0, 8, 50_002] if size > 2 else [0, 2])
+        assert hasattr(row, "indices") == (size > 2)
+    with pytest.raises(Exception, match="null or NaN"):
+        gap = df.limit(3).withColumn("gap", F.lit(None).cast("double"))
+        one_hot(level_codes(gap, dictionary), dictionary, also=["gap"]).collect()
