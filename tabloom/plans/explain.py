@@ -19,6 +19,8 @@ from tabloom.session import cut_lineage
 
 #: Numbers (rows, leaves, features of a path) that a task holds at once, about.
 CELLS = 2_000_000
+#: Numbers of patterns that a task keeps, and those of a part that it works on at once.
+TABLES, PART = 12_000_000, 60_000
 
 
 @dataclass(frozen=True)
@@ -58,32 +60,96 @@ def leaf_paths(model: HistogramModel) -> list[Paths]:
     return out
 
 
-def path_attributions(paths: Sequence[Paths], x: np.ndarray) -> np.ndarray:
-    """Exact Shapley values (rows, features) of the trees' sum, a feature outside the subset weighing both sides by their training rows.
+def _gains(share: np.ndarray, inside: np.ndarray, i: int) -> np.ndarray:
+    """What feature ``i`` adds on paths with ``share`` (leaves, features), for ``inside`` (rows, leaves, features) of 0 and 1.
 
     A leaf counts for a subset with the product of 1 or 0 (the row's value lies in the interval or
     not) over the features inside and of the share over those outside. The subsets of each size
     without feature i are summed as the coefficients of a polynomial, which is carried along the path.
     """
+    size = share.shape[1]
+    sums = [np.ones(inside.shape[:2])]
+    for j in range(size):
+        if j != i:
+            one, rest = inside[:, :, j], share[None, :, j]
+            sums = [s * rest if k == 0 else s * rest + before * one for k, (s, before) in enumerate(zip(sums, [None, *sums[:-1]]))] + [sums[-1] * one]
+    weights = [1.0 / (size * math.comb(size - 1, k)) for k in range(size)]
+    return sum(w * s for w, s in zip(weights, sums)) * (inside[:, :, i] - share[None, :, i])
+
+
+@dataclass(frozen=True)
+class Patterns:
+    """A few leaves of as many features, with what each feature adds for every pattern of intervals that hold a row's values.
+
+    ``bits``: per feature its cuts and, by interval between them (the last: no number, or the lowest infinity) and leaf, the
+    bit of the leaf's pattern. ``adds``: per feature its leaves, where their patterns begin, and the numbers.
+    """
+    bits: list[tuple[int, np.ndarray, np.ndarray]]
+    adds: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def patterns(p: Paths) -> list[Patterns]:
+    """``p`` in parts of about ``PART`` numbers."""
+    leaves, size = p.feature.shape
+    count = 1 << size
+    held = (np.arange(count)[:, None] >> np.arange(size) & 1).astype(np.float64)
+    out, step = [], max(1, PART // (count * size))
+    for at in range(0, leaves, step):
+        part = slice(at, at + step)
+        feature, low, high, share = p.feature[part], p.low[part], p.high[part], p.share[part]
+        n = len(feature)
+        inside = np.broadcast_to(held[:, None, :], (count, n, size))
+        gains = [(_gains(share, inside, i) * p.value[None, part]).T for i in range(size)]
+        bits, adds = [], []
+        for f in np.unique(feature).tolist():
+            leaf, i = np.nonzero(feature == f)
+            cuts = np.unique(np.concatenate([low[leaf, i], high[leaf, i]]))
+            cuts = cuts[np.isfinite(cuts)]
+            # Interval k lies behind cut k - 1, up to cut k.
+            first = np.where(np.isinf(low[leaf, i]), 0, np.searchsorted(cuts, low[leaf, i]) + 1)
+            last = np.where(np.isinf(high[leaf, i]), len(cuts), np.searchsorted(cuts, high[leaf, i]))
+            k = np.arange(len(cuts) + 2)[:, None]
+            mine = np.zeros((len(cuts) + 2, n), dtype=np.int32)
+            mine[:, leaf] = ((k >= first) & (k <= last) & (k <= len(cuts))) << i
+            bits.append((f, cuts, mine))
+            adds.append((f, leaf, np.arange(len(leaf)) * count, np.concatenate([gains[b][a] for a, b in zip(leaf.tolist(), i.tolist())])))
+        out.append(Patterns(bits, adds))
+    return out
+
+
+def ready(paths: Sequence[Paths]) -> list[Paths | Patterns]:
+    """Paths as patterns while those take at most ``TABLES`` numbers; the others stay as they are."""
+    out, room = [], TABLES
+    for p in paths:
+        leaves, size = p.feature.shape
+        need = leaves * size << size
+        if size and need <= room:
+            room -= need
+            out += patterns(p)
+        else:
+            out.append(p)
+    return out
+
+
+def path_attributions(paths: Sequence[Paths | Patterns], x: np.ndarray) -> np.ndarray:
+    """Exact Shapley values (rows, features) of the trees' sum, a feature outside the subset weighing both sides by their training rows."""
     phi = np.zeros(x.shape)
     for p in paths:
+        if isinstance(p, Patterns):
+            code = sum(mine.take(np.where(x[:, f] > -np.inf, np.searchsorted(cuts, x[:, f]), len(cuts) + 1), axis=0) for f, cuts, mine in p.bits)
+            for f, leaf, start, add in p.adds:
+                phi[:, f] += add.take(code.take(leaf, axis=1) + start).sum(axis=1)
+            continue
         leaves, size = p.feature.shape
         if not size:
             continue
-        weights = [1.0 / (size * math.comb(size - 1, k)) for k in range(size)]
         step = max(1, CELLS // (len(x) * size * size + 1))
         for at in range(0, leaves, step):
             part = slice(at, at + step)
             value = x[:, p.feature[part]]
             inside = ((value > p.low[part]) & (value <= p.high[part])).astype(np.float64)  # rows, leaves, features
-            share = p.share[part]
             for i in range(size):
-                sums = [np.ones(inside.shape[:2])]
-                for j in range(size):
-                    if j != i:
-                        one, rest = inside[:, :, j], share[None, :, j]
-                        sums = [s * rest if k == 0 else s * rest + before * one for k, (s, before) in enumerate(zip(sums, [None, *sums[:-1]]))] + [sums[-1] * one]
-                total = sum(w * s for w, s in zip(weights, sums)) * (inside[:, :, i] - share[None, :, i]) * p.value[None, part]
+                total = _gains(p.share[part], inside, i) * p.value[None, part]
                 for f in np.unique(p.feature[part, i]):
                     phi[:, f] += total[:, p.feature[part, i] == f].sum(axis=1)
     return phi
@@ -101,6 +167,7 @@ def tree_shapley(model: HistogramModel, rows: DataFrame, keys: Sequence[str], fe
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fitted, leaves = held.value
+        leaves = ready(leaves)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
