@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import fields
 from statistics import median
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabloom.operators.columns import q
 from tabloom.operators.encode import assemble, fit_scaler
+from tabloom.plans.blocks import BlockBoost, BlockForest, BlockModel, BlockTable, block_table
 from tabloom.plans.models import LinearSvr, keep
 from tabloom.session import small_table
 
 VOTERS = ["Lasso", "Ridge", "GradientBoost", "RandomForest", "LinearSVR"]
+#: MLlib fits the trees of at most this many rows; those of more grow over row blocks (``blocks``).
+MLLIB_ROWS = 200_000
 
 
 def _at_least(values: Sequence[float], factor: float) -> list[int]:
@@ -26,10 +31,17 @@ def _at_least(values: Sequence[float], factor: float) -> list[int]:
     return [int(v >= limit) for v in values]
 
 
+def _known(kind, params: Mapping) -> bool:
+    return set(params) <= {f.name for f in fields(kind)}
+
+
 def vote_table(df: DataFrame, features: Sequence[str], label: str, bases: Mapping[str, str] | None = None,
                lasso: float = 1.0, ridge: float = 5.0, boost: Mapping | None = None, forest: Mapping | None = None,
-               svr_steps: int = 40, seed: int = 42) -> DataFrame:
-    """feature, index, base and the votes of five models with their sum."""
+               svr_steps: int = 40, seed: int = 42, mllib_rows: int = MLLIB_ROWS) -> DataFrame:
+    """feature, index, base and the votes of five models with their sum.
+
+    Trees are MLlib's up to ``mllib_rows`` rows, beyond that trees of the same kind over row blocks.
+    """
     bases = bases or {}
     data = keep(assemble(df, features).select("features", q(label).cast("double").alias("label")))
     n, sigma = data.agg(F.count("*"), F.stddev_pop("label")).first()
@@ -37,8 +49,14 @@ def vote_table(df: DataFrame, features: Sequence[str], label: str, bases: Mappin
     # MLlib divides the squared penalty by the label deviation and averages the loss.
     ridge_fit = LinearRegression(solver="normal", regParam=ridge * (sigma or 1.0) / n, elasticNetParam=0.0,
                                  standardization=False).fit(data)
-    boost_fit = GBTRegressor(**{"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": seed, **(boost or {})}).fit(data)
-    forest_fit = RandomForestRegressor(**{"numTrees": 400, "maxDepth": 10, "seed": seed, **(forest or {})}).fit(data)
+    boost = {"maxIter": 100, "maxDepth": 3, "stepSize": 0.1, "seed": seed, **(boost or {})}
+    forest = {"numTrees": 400, "maxDepth": 10, "seed": seed, **(forest or {})}
+    if n > mllib_rows and _known(BlockBoost, boost) and _known(BlockForest, forest):
+        table = block_table(data)
+        boost_fit, forest_fit = BlockBoost(**boost).fit(table), BlockForest(**forest).fit(table)
+        table.unpersist()
+    else:
+        boost_fit, forest_fit = GBTRegressor(**boost).fit(data), RandomForestRegressor(**forest).fit(data)
     scaler = fit_scaler(data)
     svr = LinearSvr(c=1.0, features="scaled", steps=svr_steps).fit(scaler.transform(data))
     data.unpersist()
