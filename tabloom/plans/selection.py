@@ -91,11 +91,12 @@ def stage2_candidates(votes: DataFrame, selected: DataFrame, domain_bases: Seque
     return selected.unionByName(domain).dropDuplicates(["feature"]).orderBy("index")
 
 
-def eliminate(data: DataFrame, count: int, keep_n: int, make) -> tuple[list[int], list[int]]:
+def eliminate(data: DataFrame | BlockTable, count: int, keep_n: int, make) -> tuple[list[int], list[int]]:
     """Recursive elimination on vector positions: support and rank (1 = kept)."""
     left, rank = list(range(count)), [1] * count
     while len(left) > keep_n:
-        part = VectorSlicer(inputCol="features", outputCol="part", indices=left).transform(data)
+        part = (data.sliced(left) if isinstance(data, BlockTable)
+                else VectorSlicer(inputCol="features", outputCol="part", indices=left).transform(data))
         scores = make("part").fit(part).featureImportances.toArray()
         worst = int(np.argmin(scores))
         rank[left[worst]] = len(left) - keep_n + 1
@@ -104,15 +105,9 @@ def eliminate(data: DataFrame, count: int, keep_n: int, make) -> tuple[list[int]
     return support, rank
 
 
-def permuted(df: DataFrame, keys: Sequence[str], positions: Sequence[int], repeats: int, seed: int,
-             rows_per_block: int = 10_000) -> DataFrame:
-    """For every (position, repeat): all rows with that vector position permuted.
-
-    Rows are dealt into blocks by hash and shifted by one place in a second hash order
-    inside their block. That is a permutation with no fixed row, and no task orders more
-    than a block.
-    """
-    rows = df.select(*[q(k) for k in keys], vector_to_array("features").alias("x"), "label")
+def _shifted(df: DataFrame, keys: Sequence[str], x: Column, repeats: int, seed: int, rows_per_block: int) -> DataFrame:
+    """For every repeat: all rows with ``x`` and, as ``other``, that of the row they are shifted to."""
+    rows = df.select(*[q(k) for k in keys], x.alias("x"), "label")
     blocks = max(1, df.count() // rows_per_block)
     runs = rows.withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     ids = [q(k) for k in keys]
@@ -121,39 +116,96 @@ def permuted(df: DataFrame, keys: Sequence[str], positions: Sequence[int], repea
     w = Window.partitionBy("repeat", "block").orderBy("order", *ids)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     other = F.coalesce(F.lead("x").over(w), F.first("x").over(whole))
-    runs = runs.withColumn("other", other)
+    return runs.withColumn("other", other)
+
+
+def permuted(df: DataFrame, keys: Sequence[str], positions: Sequence[int], repeats: int, seed: int,
+             rows_per_block: int = 10_000) -> DataFrame:
+    """For every (position, repeat): all rows with that vector position permuted.
+
+    Rows are dealt into blocks by hash and shifted by one place in a second hash order
+    inside their block. That is a permutation with no fixed row, and no task orders more
+    than a block.
+    """
+    runs = _shifted(df, keys, vector_to_array("features"), repeats, seed, rows_per_block)
     spread = runs.withColumn("position", F.explode(F.array(*[F.lit(i) for i in positions])))
     mixed = F.transform("x", lambda v, i: F.when(i == F.col("position"), F.element_at("other", i + 1)).otherwise(v))
     return spread.select("position", "repeat", array_to_vector(mixed).alias("features"), "label")
 
 
+def _block_runs(model: BlockModel, df: DataFrame, keys: Sequence[str], count: int, repeats: int, seed: int,
+                rows_per_block: int = 10_000) -> DataFrame:
+    """Accuracy per (position, repeat). Only trees that split on a position are walked again for it."""
+    held = df.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("binary")
+    def bins(x: pd.Series) -> pd.Series:
+        return pd.Series([row.tobytes() for row in held.value.binned(x)] if len(x) else [], dtype=object)
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = held.value
+        users = [[i for i, t in enumerate(m.trees) if (t.column[t.gain > 0] == p).any()] for p in range(count)]
+        for b in batches:
+            if not len(b):
+                continue
+            x, other = (np.frombuffer(b"".join(b[c]), dtype=np.uint8).reshape(len(b), -1) for c in ("x", "other"))
+            repeat, label, out = b["repeat"].to_numpy(), b["label"].to_numpy(dtype=np.float64), []
+            values, known = np.stack(list(m.values(x, range(len(m.trees))))), ~np.isnan(label)
+            for p in range(count):
+                mixed, changed = np.array(x, order="F"), values
+                if users[p]:
+                    mixed[:, p] = other[:, p]
+                    changed = values.copy()
+                    changed[users[p]] = list(m.values(mixed, users[p]))
+                right = (m.told(changed.sum(axis=0)) == label) & known
+                out += [(p, int(r), int(known[repeat == r].sum()), int(right[repeat == r].sum())) for r in np.unique(repeat)]
+            yield pd.DataFrame(out, columns=["position", "repeat", "n", "right"])
+
+    runs = _shifted(df, keys, bins(vector_to_array("features")), repeats, seed, rows_per_block)
+    counts = runs.select("repeat", "x", "other", "label").mapInPandas(told, "position int, repeat int, n long, right long")
+    return counts.groupBy("position", "repeat").agg((F.sum("right") / F.sum("n")).alias("accuracy"))
+
+
 def permutation_importance(model, df: DataFrame, keys: Sequence[str], count: int, repeats: int = 5,
                            seed: int = 42) -> dict[int, tuple[float, float]]:
-    """Mean and deviation of the accuracy lost, per vector position; all runs are scored in one job."""
+    """Mean and deviation of the accuracy lost, per vector position; all runs are scored in one job.
+
+    A ``BlockModel`` sees bin numbers only, so those are shifted, and a task scores a row's positions together.
+    """
     base = model.transform(df).agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-    scored = model.transform(permuted(df, keys, list(range(count)), repeats, seed))
-    runs = (scored.groupBy("position", "repeat")
-            .agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")))
+    if isinstance(model, BlockModel):
+        runs = _block_runs(model, df, keys, count, repeats, seed)
+    else:
+        scored = model.transform(permuted(df, keys, list(range(count)), repeats, seed))
+        runs = (scored.groupBy("position", "repeat")
+                .agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy")))
     table = runs.groupBy("position").agg(F.avg(F.lit(base) - F.col("accuracy")).alias("mean"),
                                          F.stddev_pop(F.lit(base) - F.col("accuracy")).alias("std")).collect()
     return {r["position"]: (r["mean"], r["std"]) for r in table}
 
 
 def stage2(df: DataFrame, candidates: DataFrame, label: str, keys: Sequence[str], keep_n: int = 20,
-           repeats: int = 5, seed: int = 42, boost: Mapping | None = None) -> DataFrame:
-    """Importance, elimination rank and permutation loss of every candidate, and whether it stays."""
+           repeats: int = 5, seed: int = 42, boost: Mapping | None = None, mllib_rows: int = MLLIB_ROWS) -> DataFrame:
+    """Importance, elimination rank and permutation loss of every candidate, and whether it stays.
+
+    Trees are MLlib's up to ``mllib_rows`` rows, beyond that trees of the same kind over row blocks.
+    """
     rows = candidates.orderBy("index").collect()
     features = [r["feature"] for r in rows]
     params = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8,
               "featureSubsetStrategy": "0.8", "seed": seed, **(boost or {})}
     data = keep(assemble(df, features).select(*[q(k) for k in keys], "features", q(label).cast("double").alias("label")))
 
-    def make(column: str) -> GBTClassifier:
-        return GBTClassifier(featuresCol=column, labelCol="label", **params)
+    table = block_table(data) if data.count() > mllib_rows and _known(BlockBoost, params) else None
+
+    def make(column: str):
+        return GBTClassifier(featuresCol=column, labelCol="label", **params) if table is None else BlockBoost(**params, logistic=True)
 
-    model = make("features").fit(data)
+    model = make("features").fit(data if table is None else table)
     gain = model.featureImportances.toArray().tolist()
-    support, rank = eliminate(data, len(features), min(keep_n, len(features)), make)
+    support, rank = eliminate(data if table is None else table, len(features), min(keep_n, len(features)), make)
+    if table is not None:
+        table.unpersist()
     loss = permutation_importance(model, data, keys, len(features), repeats, seed)
     data.unpersist()
     gain_mid, loss_mid = median(gain), median(loss[i][0] for i in range(len(features)))
