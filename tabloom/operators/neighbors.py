@@ -28,6 +28,9 @@ MAX_BITS, QUANTILE_BITS = 24, 10
 LEVELS = [1, 2, 3, 4, 6, 8, 10, 12, 16, 20]
 # A box that more queries than this reach, and than 1 / CROWDS of all, is dealt to several tasks; so there are at most CROWDS.
 CROWD_ROWS, CROWDS = 100_000, 2_000
+# Queries per task of the walk. A query meets up to hundreds of boxes and points, so a task is bounded by its
+# queries: a share of the few bytes that the walk starts with would grow with the table.
+TASK_QUERIES = 2_048
 # Rounding slack of a pruning comparison; only ever keeps a box too many.
 SLACK = 1e-9
 DEGREE_KM = 111.0
@@ -62,7 +65,11 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], order: S
     source = pts if split_source is None else split_source.select(
         *[q(c).cast("double").alias(f"y{i}") for i, c in enumerate(dims)])
     tree = _BoxTree(pts, source, d, leaf_points, max_broadcast)
-    ident = ["_g", *[f"x{i}" for i in range(d)], "_r"]
+    # Windows group by the hash first: Spark sees that the walk is already dealt by it and shuffles no more.
+    ident = ["_h", "_g", *[f"x{i}" for i in range(d)], "_r"]
+    qs = cut_lineage(qs)
+    parts = max(qs.sparkSession.sparkContext.defaultParallelism, math.ceil(qs.count() / TASK_QUERIES))
+    qs = qs.withColumn("_h", F.xxhash64(*ident[1:])).repartition(parts, "_h")
     candidates = None
     for above, level in zip([None, *tree.levels], tree.levels):
         boxes = tree.boxes(above, level)

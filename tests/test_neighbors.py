@@ -121,3 +121,12 @@ def test_rows_of_one_place(spark, monkeypatch, crowd):
     want = nearest_capped(left, right, ("lat", "lng"), ("rlat", "rlng"), ["rid"], F.col("cap"))
     assert got == {r["id"]: r["FARS__rid"] for r in want.collect()}
     assert got[0] == 3 and got[1] is None and got[19] is None
+
+
+def test_walk_has_tasks_by_queries(spark, monkeypatch):
+    monkeypatch.setattr(NB, "TASK_QUERIES", 10)
+    queries = spark.range(600).select((F.col("id") * 7 % 601).cast("double").alias("x"), (F.col("id") * 11 % 599).cast("double").alias("y"))
+    points = spark.range(300).select((F.col("id") * 13 % 601).cast("double").alias("x"), (F.col("id") * 5 % 599).cast("double").alias("y"), F.col("id").alias("k"))
+    found = NB.nearest(queries, points, ["x", "y"], ["k"], k=3)
+    assert found.rdd.getNumPartitions() >= 60
+    assert found.groupBy("x", "y").count().filter("count = 3").count() == 600
